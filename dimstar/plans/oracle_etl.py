@@ -94,7 +94,7 @@ c_first AS (
 ),
 r_dup AS (SELECT *, COUNT(*) OVER (PARTITION BY id) AS n_id FROM requests),
 r_chk AS (
-  SELECT r.* EXCLUDE (n_id, cid, min_reg, sid, oid), CASE
+  SELECT r.* EXCLUDE (n_id), CASE
     WHEN n_id > 1 THEN 'duplicate_id'
     WHEN cid IS NULL THEN 'customer_id_not_found'
     WHEN sid IS NULL THEN 'supplier_id_not_found'
