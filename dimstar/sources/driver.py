@@ -241,3 +241,27 @@ def requests_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fulfilled, F.col("l_quantity").cast("int")).alias("service_duration_minutes"),
         F.when(F.col("l_returnflag") == "R", F.col("o_orderpriority")).alias("notes"),
     )
+
+
+# ------------------------------------------------------------ event histories
+
+# Event types of the driver's ``events`` table read as request events.
+EVENT_AS_REQUEST_EVENT = {"signup": "create", "view": "confirm", "click": "complete",
+                          "purchase": "invoice", "error": "cancel"}
+
+
+def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as request histories: entity ``user_id``, order (ts, event_id)."""
+    e = table(spark, sf_dir, "events")
+    m = F.create_map(*[F.lit(x) for kv in EVENT_AS_REQUEST_EVENT.items() for x in kv])
+    return e.select("user_id", "ts", "event_id", F.element_at(m, F.col("event_type")).alias("event"))
+
+
+def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts")
+
+
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
