@@ -26,8 +26,22 @@ def build_time_dim(spark: SparkSession, start: dt.date = CALENDAR_START, end: dt
     The day list is generated by Spark (``sequence`` + ``explode``), never on
     the driver; the row count is ``calendar_days(start, end)``.
     """
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    bounds = spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
+    return time_dim_from_bounds(bounds, variable_holidays)
+
+
+def build_time_dim_covering(df: DataFrame, ts_col: str,
+                            variable_holidays: dict[str, str] | None = None) -> DataFrame:
+    """D6 over the span of the data: first to last day of ``ts_col``. The
+    bounds are one aggregate row, so nothing passes through the driver."""
+    bounds = df.agg(F.to_date(F.min(ts_col)).alias("start"), F.to_date(F.max(ts_col)).alias("end"))
+    return time_dim_from_bounds(bounds, variable_holidays)
+
+
+def time_dim_from_bounds(bounds: DataFrame, variable_holidays: dict[str, str] | None = None) -> DataFrame:
+    """D6-D12 from a one-row frame ``start, end`` (dates)."""
+    days = bounds.where(F.col("start").isNotNull() & (F.col("start") <= F.col("end"))).select(
+        F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     d = F.col("full_date")
     hol = cal.holiday_name_it(d, variable_holidays)
     out = days.select(

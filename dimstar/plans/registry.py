@@ -80,9 +80,10 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         out[name] = (partial(_kpi_builder, fn, period, prov, cat),
                      oracle_star.kpi_sql(fn, period[0], period[1], prov, cat))
     out["trend_auto"] = (_trend_auto, oracle_star.kpi_sql("trend_weekly", *FULL))
-    from . import registry_etl, registry_states
+    from . import registry_checks, registry_etl, registry_states
     out.update(registry_etl.entries())
     out.update(registry_states.entries())
+    out.update(registry_checks.entries())
     return out
 
 
