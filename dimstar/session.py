@@ -63,3 +63,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     recomputation cannot change nondeterministic columns (partition ids)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder, for
+    intermediate tables that must outlive an executor."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
