@@ -3,8 +3,8 @@
 Source files are UTF-8 (a BOM is stripped by Spark), comma separated, with a
 header. Only the empty field is NULL; text such as "NA" stays a value.
 Schemas are explicit, never inferred; zip codes and VAT numbers are text so
-leading zeros survive. Malformed lines are kept in ``_corrupt_record`` and
-can be quarantined instead of failing the whole file.
+leading zeros survive. Malformed values are listed in ``_corrupt_record`` and
+their lines can be quarantined instead of failing the whole file.
 """
 
 from __future__ import annotations
@@ -79,20 +79,30 @@ _READ_OPTIONS = {
     "nullValue": "",           # only the empty field is NULL ("NA" is a province)
     "nanValue": "NaN",
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "dateFormat": "yyyy-MM-dd",
     "encoding": "UTF-8",
 }
 
 
 def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False) -> DataFrame:
-    """Read one entity CSV (file or folder) with its fixed schema."""
+    """Read one entity CSV (file or folder) with its fixed schema.
+
+    Fields are read as text and cast with ``try_cast``; a field whose text is
+    present but does not cast is malformed. With ``keep_corrupt`` the names of
+    such fields are listed in ``_corrupt_record`` (NULL when the line is
+    clean), so a bad value quarantines its line instead of failing the file.
+    The check does not depend on which columns a later query selects.
+    """
     schema = SCHEMAS[entity]
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.options(**_READ_OPTIONS).schema(schema).csv(path)
-    return df
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = spark.read.options(**_READ_OPTIONS).schema(text).csv(path)
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.StringType)
+             else F.col(f.name) for f in schema.fields]
+    if not keep_corrupt:
+        return raw.select(*typed)
+    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+           for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    names = F.concat_ws(",", *bad)
+    return raw.select(*typed, F.when(names != "", names).alias(CORRUPT))
 
 
 def split_corrupt(df: DataFrame, table: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
