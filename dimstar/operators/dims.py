@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.constants import CALENDAR_END, CALENDAR_START
 from ..model import CUSTOMER_DIM_COLUMNS, OPERATOR_DIM_COLUMNS, SUPPLIER_DIM_COLUMNS, TIME_DIM_SCHEMA
-from .keys import dense_keys
-from .segmented import lead_in_group
+from .keys import dense_keys, number_segments
+from .segmented import lead_in_group, segment
 
 
 def calendar_days(start: dt.date, end: dt.date) -> int:
@@ -97,16 +97,25 @@ def scd2_versions(df: DataFrame, persona: str = "fiscal_code_hash", ts: str = "r
 
 def build_customer_dim_scd2(customers_ok: DataFrame, with_keys: bool = True) -> DataFrame:
     """D1 + D13 + D14: customer versions with dense ``customer_key`` in the order
-    (first id of the persona, registration, id)."""
-    versions = scd2_versions(customers_ok)
-    first_id = versions.groupBy("fiscal_code_hash").agg(F.min("id").alias("_first_id"))
-    versions = versions.join(first_id, "fiscal_code_hash")
-    versions = versions.withColumnRenamed("id", "customer_id")
+    (first id of the persona, registration, id).
+
+    Ordering by the persona's first id keeps each persona contiguous, so one
+    range partitioning (and one checkpoint) serves both the SCD2 ``lead``
+    inside a persona and the global key numbering."""
+    first_id = customers_ok.groupBy("fiscal_code_hash").agg(F.min("id").alias("_first_id"))
+    x = customers_ok.join(first_id, "fiscal_code_hash")
+    order = ["registration_datetime", "id"]
+    seg = segment(x, ["_first_id"], order, with_position=with_keys)
+    v = lead_in_group(seg, ["_first_id"], order, "registration_datetime", "valid_to", "_has_next",
+                      segmented=True)
+    v = (v.withColumn("valid_from", F.col("registration_datetime"))
+          .withColumn("is_current", F.when(F.col("_has_next"), 0).otherwise(1))
+          .withColumnRenamed("id", "customer_id"))
     if with_keys:
-        versions = dense_keys(versions, ["_first_id", "registration_datetime", "customer_id"], "customer_key")
+        v = number_segments(v, "customer_key")
     else:
-        versions = versions.withColumn("customer_key", F.lit(None).cast("bigint"))
-    return versions.select(*CUSTOMER_DIM_COLUMNS)
+        v = v.withColumn("customer_key", F.lit(None).cast("bigint"))
+    return v.select(*CUSTOMER_DIM_COLUMNS)
 
 
 def scd2_coherence(customer_versions: DataFrame) -> DataFrame:

@@ -14,26 +14,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .segmented import POS, SEG, segment
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[Column | str], key_name: str,
                num_partitions: int | None = None) -> DataFrame:
     """Add ``key_name`` = 1..N following ``order_cols`` (a total order)."""
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ordered = (df.repartitionByRange(n, *keys)
-                 .sortWithinPartitions(*keys)
-                 .withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_pos", F.monotonically_increasing_id()))
-    # Persist reliably: the numbering must not change if a partition is recomputed.
-    ordered = cut_lineage(ordered)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ordered.groupBy("_pid")
-                      .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-                      .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-                      .select("_pid", "_off", "_first"))
-    return (ordered.join(F.broadcast(offsets), "_pid")
-                   .withColumn(key_name, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("bigint"))
-                   .drop("_pid", "_pos", "_off", "_first"))
+    seg = segment(df, [], order_cols, num_partitions, with_position=True)
+    return number_segments(seg, key_name)
+
+
+def number_segments(seg: DataFrame, key_name: str) -> DataFrame:
+    """Dense 1..N over a frame produced by ``segment(..., with_position=True)``
+    (reliably checkpointed, so segment ids and positions are fixed). The
+    offset table has one row per segment."""
+    before = Window.orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (seg.groupBy(SEG)
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
+                  .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+                  .select(SEG, "_off", "_first"))
+    return (seg.join(F.broadcast(offsets), SEG)
+               .withColumn(key_name, (F.col("_off") + F.col(POS) - F.col("_first") + 1).cast("bigint"))
+               .drop(SEG, POS, "_off", "_first"))

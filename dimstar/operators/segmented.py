@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 SEG = "_seg"
+POS = "_pos"
 
 
 def _cols(xs: Sequence[Column | str]) -> list[Column]:
@@ -31,24 +32,29 @@ def _cols(xs: Sequence[Column | str]) -> list[Column]:
 
 
 def segment(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-            num_segments: int | None = None) -> DataFrame:
-    """Range-partition on (group, order) and tag each row with its segment."""
+            num_segments: int | None = None, with_position: bool = False) -> DataFrame:
+    """Range-partition on (group, order) and tag each row with its segment
+    (and, with ``with_position``, a position increasing along the order)."""
     spark = df.sparkSession
     n = num_segments or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = _cols([*group_cols, *order_cols])
     seg = (df.repartitionByRange(n, *keys)
            .sortWithinPartitions(*keys)
            .withColumn(SEG, F.spark_partition_id()))
+    if with_position:
+        seg = seg.withColumn(POS, F.monotonically_increasing_id())
     return cut_lineage(seg)
 
 
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   value_col: str, out_col: str, has_next_col: str,
-                  num_segments: int | None = None) -> DataFrame:
+                  num_segments: int | None = None, segmented: bool = False) -> DataFrame:
     """``out_col`` = ``value_col`` of the next row of the group (NULL for the
     last row), ``has_next_col`` = whether a next row exists. ``order_cols``
-    must be a total order inside the group."""
-    seg = segment(df, group_cols, order_cols, num_segments)
+    must be a total order inside the group. With ``segmented`` the input is
+    already the output of :func:`segment` on the same columns, and keeps its
+    segment columns."""
+    seg = df if segmented else segment(df, group_cols, order_cols, num_segments)
     w = Window.partitionBy(*group_cols, SEG).orderBy(*order_cols)
     local = (seg.withColumn("_nx", F.lead(value_col).over(w))
                 .withColumn("_hn", F.lead(F.lit(1)).over(w).isNotNull()))
@@ -60,10 +66,11 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
                     .withColumn("_bhn", F.lead(F.lit(1)).over(wseg).isNotNull())
                     .select(*group_cols, SEG, "_bnx", "_bhn"))
     joined = local.join(border, [*group_cols, SEG], "left")
-    return (joined
-            .withColumn(out_col, F.when(F.col("_hn"), F.col("_nx")).otherwise(F.col("_bnx")))
-            .withColumn(has_next_col, F.col("_hn") | F.coalesce(F.col("_bhn"), F.lit(False)))
-            .drop("_nx", "_hn", "_bnx", "_bhn", SEG))
+    out = (joined
+           .withColumn(out_col, F.when(F.col("_hn"), F.col("_nx")).otherwise(F.col("_bnx")))
+           .withColumn(has_next_col, F.col("_hn") | F.coalesce(F.col("_bhn"), F.lit(False)))
+           .drop("_nx", "_hn", "_bnx", "_bhn"))
+    return out if segmented else out.drop(SEG)
 
 
 def lag_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

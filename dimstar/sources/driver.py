@@ -68,8 +68,19 @@ def driver_rules() -> RuleConfig:
     )
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One reader per (session, file): the file listing and schema are
+    resolved once; the data is still scanned by every query that uses it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def request_status(returnflag: Column | str = "l_returnflag", linestatus: Column | str = "l_linestatus") -> Column:
