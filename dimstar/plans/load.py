@@ -15,7 +15,9 @@ from ..model import Star
 from ..operators import validation as V
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
-from ..operators.fact import build_request_fact
+from ..operators.checks import enforce_fks
+from ..operators.fact import asof_cardinality, build_request_fact
+from ..operators.states import filter_unreachable
 from ..sources import driver
 from ..sources.driver import RuleConfig
 
@@ -42,6 +44,10 @@ def build(customers: DataFrame, suppliers: DataFrame, operators: DataFrame, requ
     """Validate, gate (when ``gate_limit`` is not None) and build the star."""
     spark = customers.sparkSession
     val = V.validate_all(customers, suppliers, operators, requests, cfg)
+    # M5: statuses the state machine cannot reach are rejected too, and counted.
+    r_ok, r_q = filter_unreachable(val.requests_ok)
+    val = V.Validated(val.customers_ok, val.suppliers_ok, val.operators_ok, r_ok,
+                      val.quarantine.unionByName(r_q), val.totals)
     summary = V.validation_summary(val.totals, val.quarantine,
                                    REJECT_RATIO_LIMIT if gate_limit is None else gate_limit)
     if gate_limit is not None:
@@ -69,29 +75,73 @@ def load_driver(spark: SparkSession, sf_dir: str, gate_limit: float | None = Non
                  driver.driver_rules(), driver.DRIVER_CALENDAR, gate_limit)
 
 
-def write_warehouse(loaded: Loaded, path: str, mode: str = "overwrite") -> dict[str, str]:
-    """Dimensions first, then the fact partitioned by month and sorted
-    by ``date_key`` inside the files (Parquet min/max statistics prune
-    periods). Overwrite makes the load a full, repeatable rebuild."""
-    base = path.rstrip("/")
+class UnresolvedVersion(RuntimeError):
+    pass
+
+
+def check_fact_keys(loaded: Loaded) -> None:
+    """F3 + S12 before the fact is written: every request found exactly one
+    customer version, and no foreign key of the fact is orphaned. Each check
+    collects one small aggregate row per key."""
+    card = asof_cardinality(loaded.fact, "customer_key", "request_id").collect()[0]
+    if card["n_unmatched"]:
+        raise UnresolvedVersion(f"{card['n_unmatched']} requests have no customer version at their time")
+    enforce_fks(loaded.fact, [("customer_key", loaded.customer_dim, "customer_key"),
+                              ("supplier_key", loaded.supplier_dim, "supplier_key"),
+                              ("operator_key", loaded.operator_dim, "operator_key"),
+                              ("date_key", loaded.time_dim, "date_key")])
+
+
+POINTER = "_current"
+
+
+def write_warehouse(loaded: Loaded, path: str, check: bool = True,
+                    max_records_per_file: int = 5_000_000) -> dict[str, str]:
+    """A full rebuild into a new version folder under ``path``, then
+    the pointer ``path/_current`` is switched to it. Readers that already hold
+    the previous version keep reading it; a rebuild from the same input gives
+    the same tables.
+
+    Dimensions are written first, then the fact, partitioned by month and
+    sorted by ``date_key`` inside the files (Parquet min/max statistics prune
+    periods). The fact is range-partitioned on ``(date_key, request_id)``, so
+    a month or even one hot day is written by several tasks, each writing a
+    contiguous date range. With ``check`` the fact keys are verified first
+    (F3, S12)."""
+    import datetime as _dt
+    import uuid
+
+    spark = loaded.fact.sparkSession
+    if check:
+        check_fact_keys(loaded)
+    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    base = f"{path.rstrip('/')}/v={version}"
     out = {}
     for name, df in (("time_dim", loaded.time_dim), ("customer_dim", loaded.customer_dim),
                      ("supplier_dim", loaded.supplier_dim), ("operator_dim", loaded.operator_dim)):
-        df.write.mode(mode).parquet(f"{base}/{name}")
+        df.write.mode("errorifexists").parquet(f"{base}/{name}")
         out[name] = f"{base}/{name}"
     fact = loaded.fact.withColumn("date_month", (F.col("date_key") / 100).cast("int"))
-    (fact.repartition("date_month").sortWithinPartitions("date_key")
-         .write.mode(mode).partitionBy("date_month").parquet(f"{base}/request_fact"))
+    (fact.repartitionByRange("date_key", "request_id").sortWithinPartitions("date_key", "request_id")
+         .write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy("date_month").parquet(f"{base}/request_fact"))
     out["request_fact"] = f"{base}/request_fact"
-    loaded.validated.quarantine.write.mode(mode).parquet(f"{base}/quarantine")
+    loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
     out["quarantine"] = f"{base}/quarantine"
+    spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path.rstrip('/')}/{POINTER}")
     return out
 
 
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder the pointer names (one row)."""
+    return spark.read.text(f"{path.rstrip('/')}/{POINTER}").first()["value"]
+
+
 def read_warehouse(spark: SparkSession, path: str, calendar: tuple[dt.date, dt.date] | None = None) -> Star:
-    """The star back from Parquet; ``date_month`` stays a partition column
-    so K0's period predicate prunes directories."""
-    base = path.rstrip("/")
+    """The current version of the star back from Parquet; ``date_month``
+    stays a partition column so K0's period predicate prunes directories."""
+    base = current_version(spark, path)
     fact = spark.read.parquet(f"{base}/request_fact")
     return Star(fact, spark.read.parquet(f"{base}/time_dim"), spark.read.parquet(f"{base}/customer_dim"),
                 spark.read.parquet(f"{base}/supplier_dim"), spark.read.parquet(f"{base}/operator_dim"),

@@ -46,3 +46,37 @@ BUILDERS = {
 
 def entries() -> dict:
     return {name: (b, SQL.get(name)) for name, b in BUILDERS.items()}
+
+
+def kpi_cancel_rate_sql(spark, sf_dir):
+    from .sql_api import CANCEL_RATE_SQL, run_sql
+    return run_sql(spark, driver.driver_star(spark, sf_dir), CANCEL_RATE_SQL, KpiParams.of(*FULL))
+
+
+def kpi_revenue_by_province_sql(spark, sf_dir):
+    from .registry import CATEGORY
+    from .sql_api import REVENUE_BY_PROVINCE_SQL, run_sql
+    return run_sql(spark, driver.driver_star(spark, sf_dir), REVENUE_BY_PROVINCE_SQL,
+                   KpiParams.of(*FULL, category=CATEGORY))
+
+
+def _sql_entries():
+    from .oracle_star import base_cte
+    from .registry import CATEGORY
+    return {
+        "kpi_cancel_rate_sql": (kpi_cancel_rate_sql, base_cte(*FULL) + """
+SELECT CAST(SUM(is_cancelled) AS DOUBLE) / NULLIF(COUNT(*), 0) AS value FROM base"""),
+        "kpi_revenue_by_province_sql": (kpi_revenue_by_province_sql, base_cte(*FULL, None, CATEGORY) + """
+SELECT province, SUM(CAST(ROUND(price * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS revenue_in_province,
+       COUNT(*) AS n_requests_in_province
+FROM base WHERE is_cancelled = 0 AND is_completed = 1 GROUP BY province"""),
+    }
+
+
+_plain_entries = entries
+
+
+def entries() -> dict:  # noqa: F811
+    out = _plain_entries()
+    out.update(_sql_entries())
+    return out
