@@ -300,7 +300,37 @@ SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_requests,
        DATE '1995-01-01' AS period_start, DATE '2001-12-31' AS period_end,
        CAST(NULL AS VARCHAR) AS province, CAST(NULL AS VARCHAR) AS category
 FROM pp"""),
-    "warehouse_revenue_by_province": None,
+    "warehouse_revenue_by_province": _etl_q("""
+, wb AS (
+  SELECT f.*, cd.province FROM rfact f JOIN tdim td ON f.date_key = td.date_key
+  JOIN cdim cd ON f.customer_key = cd.customer_key JOIN sdim sd ON f.supplier_key = sd.supplier_key
+  WHERE td.full_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+)
+SELECT province, SUM(CAST(ROUND(price * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS revenue_in_province,
+       COUNT(*) AS n_requests_in_province
+FROM wb WHERE is_cancelled = 0 AND is_completed = 1 GROUP BY province"""),
+    "check_report": _etl_q("""
+, fk AS (SELECT CAST(SUM(n) AS BIGINT) AS orphans FROM (
+  SELECT COUNT(*) AS n FROM rfact WHERE customer_key IS NOT NULL AND customer_key NOT IN (SELECT customer_key FROM cdim)
+  UNION ALL SELECT COUNT(*) FROM rfact WHERE supplier_key IS NOT NULL AND supplier_key NOT IN (SELECT supplier_key FROM sdim)
+  UNION ALL SELECT COUNT(*) FROM rfact WHERE date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM tdim)
+  UNION ALL SELECT COUNT(*) FROM rfact WHERE operator_key IS NOT NULL AND operator_key NOT IN (SELECT operator_key FROM odim)) u),
+sc AS (SELECT CAST(COALESCE(SUM(cur), 0) AS BIGINT) AS n_current, COUNT(*) AS n_personas,
+              COUNT(*) FILTER (WHERE cur > 1) AS n_multi
+       FROM (SELECT fiscal_code_hash, SUM(is_current) AS cur FROM cdim GROUP BY fiscal_code_hash) t),
+ca AS (SELECT COUNT(*) AS n_rows, COUNT(DISTINCT full_date) AS n_dates,
+              date_diff('day', MIN(full_date), MAX(full_date)) + 1 AS span FROM tdim),
+hu AS (SELECT COUNT(*) AS n_rows, COUNT(DISTINCT hash_record) AS n_distinct FROM rfact),
+chk AS (
+  SELECT 'fk_orphans' AS name, orphans = 0 AS ok, printf('orphans=%d', orphans) AS message FROM fk
+  UNION ALL SELECT 'scd2', n_multi = 0 AND n_current = n_personas,
+         printf('current=%d personas=%d multi_current=%d', n_current, n_personas, n_multi) FROM sc
+  UNION ALL SELECT 'calendar', COALESCE(n_rows = n_dates AND span = n_rows, n_rows = 0),
+         printf('rows=%d distinct=%d', n_rows, n_dates) FROM ca
+  UNION ALL SELECT 'hash_unique', n_rows = n_distinct, printf('rows=%d distinct=%d', n_rows, n_distinct) FROM hu
+)
+SELECT name, ok, message, (SELECT COUNT(*) FROM chk) AS n_checks,
+       (SELECT COUNT(*) FILTER (WHERE ok) FROM chk) AS n_passed FROM chk"""),
 }
 
 BUILDERS = {
