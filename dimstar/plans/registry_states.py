@@ -122,3 +122,42 @@ BUILDERS = {
 
 def entries() -> dict:
     return {name: (b, SQL.get(name)) for name, b in BUILDERS.items()}
+
+
+# ------------------------------------------------------------ rules over labels
+
+LANGS = ("de", "en", "es", "fr")
+
+
+def rules_labels(spark, sf_dir):
+    """The rule engine over ``labels``: duplicate doc id, 0/1 flags, and the
+    document must exist with an allowed language (a parent rule)."""
+    from ..operators import validation as V
+    labels = driver.table(spark, sf_dir, "labels")
+    docs = driver.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    docs_ok = docs.where(F.coalesce(F.col("lang").isin(list(LANGS)), F.lit(False))) \
+                  .select(F.col("doc_id").alias("_d")).distinct().withColumn("_doc_ok", F.lit(True))
+    x = V.flag_duplicate_keys(labels, "doc_id", "_dup")
+    x = x.join(docs_ok, x["doc_id"] == docs_ok["_d"], "left").drop("_d")
+    rules = [
+        V.Rule("duplicate_id", F.col("_dup")),
+        V.Rule("document_not_found", F.col("_doc_ok").isNull()),
+        V.Rule("quality_not_0_1", V.not_in_set("quality", (0, 1))),
+        V.Rule("toxic_not_0_1", V.not_in_set("toxic", (0, 1))),
+        V.Rule("missing_key", V.is_missing("doc_id")),
+    ]
+    checked = V.apply_rules(x, rules).drop("_dup", "_doc_ok")
+    return checked.select("doc_id", "quality", "toxic", "reason")
+
+
+SQL["rules_labels"] = """
+SELECT doc_id, quality, toxic, CASE
+  WHEN COUNT(*) OVER (PARTITION BY doc_id) > 1 THEN 'duplicate_id'
+  WHEN d.d IS NULL THEN 'document_not_found'
+  WHEN NOT COALESCE(quality IN (0, 1), FALSE) THEN 'quality_not_0_1'
+  WHEN NOT COALESCE(toxic IN (0, 1), FALSE) THEN 'toxic_not_0_1'
+  WHEN doc_id IS NULL THEN 'missing_key'
+END AS reason
+FROM labels l LEFT JOIN (SELECT DISTINCT doc_id AS d FROM documents
+                         WHERE COALESCE(lang IN ('de', 'en', 'es', 'fr'), FALSE)) d ON l.doc_id = d.d"""
+BUILDERS["rules_labels"] = rules_labels
