@@ -72,3 +72,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings we run with on a large cluster, sized from the bytes read.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (AQE coalesces small ones and splits skewed ones at run time); scans read
+    large splits; broadcasts are decided from measured sizes only. The
+    checkpoint folder must be set separately to shared storage
+    (``spark.checkpoint.dir``)."""
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
