@@ -20,6 +20,10 @@ class Star:
     supplier_dim: DataFrame
     operator_dim: DataFrame | None = None
     calendar_days: int | None = None  # row bound of time_dim, known from its parameters
+    # True when every foreign key of the fact is known to resolve (verified
+    # before the warehouse was written): joins that neither filter nor add a
+    # column can then be left out.
+    fk_checked: bool = False
 
 
 def _parse_day(value, name: str) -> dt.date:

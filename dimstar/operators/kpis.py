@@ -53,8 +53,15 @@ def period_predicate(fact: DataFrame, p: KpiParams) -> Column | None:
     return out
 
 
-def filtered_star(star: Star, p: KpiParams) -> DataFrame:
-    """K0: fact ⋈ time ⋈ customer ⋈ supplier, period inclusive, optional filters."""
+def filtered_star(star: Star, p: KpiParams, customer_cols: tuple[str, ...] = ("fiscal_code_hash", "province"),
+                  supplier_cols: tuple[str, ...] = ("supplier_name", "category")) -> DataFrame:
+    """K0: fact ⋈ time ⋈ customer ⋈ supplier, period inclusive, optional filters.
+
+    ``customer_cols`` / ``supplier_cols`` name the dimension columns the
+    caller reads. On a star whose foreign keys were verified at load time
+    (``fk_checked``) a dimension join that neither filters nor adds a needed
+    column changes nothing and is left out, which saves a fact-sized shuffle
+    when the dimension is too large to broadcast."""
     fact = star.fact
     pred = period_predicate(fact, p)
     if pred is not None:
@@ -64,15 +71,20 @@ def filtered_star(star: Star, p: KpiParams) -> DataFrame:
     ).select("date_key", "full_date")
     if star.calendar_days is not None and star.calendar_days <= MAX_BROADCAST_CALENDAR_DAYS:
         td = F.broadcast(td)
-    cd = star.customer_dim.select("customer_key", "fiscal_code_hash", "province")
-    if p.province is not None:
-        cd = cd.where(F.col("province") == F.lit(p.province))
-    sd = star.supplier_dim.select("supplier_key", F.col("name").alias("supplier_name"), "category")
-    if p.category is not None:
-        sd = sd.where(F.col("category") == F.lit(p.category))
+    out = fact.join(td, "date_key")
     # customer / supplier sides are not hinted: their size grows with the data,
     # so the planner decides from statistics and AQE from runtime sizes.
-    return fact.join(td, "date_key").join(cd, "customer_key").join(sd, "supplier_key")
+    if customer_cols or p.province is not None or not star.fk_checked:
+        cd = star.customer_dim.select("customer_key", "fiscal_code_hash", "province")
+        if p.province is not None:
+            cd = cd.where(F.col("province") == F.lit(p.province))
+        out = out.join(cd, "customer_key")
+    if supplier_cols or p.category is not None or not star.fk_checked:
+        sd = star.supplier_dim.select("supplier_key", F.col("name").alias("supplier_name"), "category")
+        if p.category is not None:
+            sd = sd.where(F.col("category") == F.lit(p.category))
+        out = out.join(sd, "supplier_key")
+    return out
 
 
 def _done(df: DataFrame) -> DataFrame:
@@ -102,38 +114,40 @@ def envelope(agg: DataFrame, p: KpiParams, reason: str | None) -> DataFrame:
 
 def kpi_request_count(star: Star, p: KpiParams) -> DataFrame:
     """K1: number of requests (0 on an empty set)."""
-    return envelope(filtered_star(star, p).agg(F.count(F.lit(1)).alias("value")), p, None)
+    return envelope(filtered_star(star, p, (), ()).agg(F.count(F.lit(1)).alias("value")), p, None)
 
 
 def kpi_revenue(star: Star, p: KpiParams) -> DataFrame:
     """K2: revenue of completed, not cancelled requests (0 on an empty set)."""
-    agg = _done(filtered_star(star, p)).agg(F.coalesce(money_sum("price"), F.lit(0.0)).alias("value"))
+    agg = _done(filtered_star(star, p, (), ())).agg(F.coalesce(money_sum("price"), F.lit(0.0)).alias("value"))
     return envelope(agg, p, None)
 
 
 def kpi_mean_duration(star: Star, p: KpiParams) -> DataFrame:
     """K3: mean service duration of completed requests; NULL + reason if none."""
-    agg = _done(filtered_star(star, p)).agg(
+    agg = _done(filtered_star(star, p, (), ())).agg(
         F.avg("service_duration_minutes").cast("double").alias("value"))
     return envelope(agg, p, REASON_NO_COMPLETED)
 
 
 def kpi_active_customers(star: Star, p: KpiParams) -> DataFrame:
     """K4: distinct personas (not versions) with a request in the period."""
-    agg = filtered_star(star, p).agg(F.count_distinct("fiscal_code_hash").alias("value"))
+    agg = filtered_star(star, p, ("fiscal_code_hash",), ()).agg(
+        F.count_distinct("fiscal_code_hash").alias("value"))
     return envelope(agg, p, None)
 
 
 def kpi_cancel_rate(star: Star, p: KpiParams) -> DataFrame:
     """K6: cancelled / all; NULL + reason on an empty set."""
-    agg = filtered_star(star, p).agg(
+    agg = filtered_star(star, p, (), ()).agg(
         (F.sum("is_cancelled").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("value"))
     return envelope(agg, p, REASON_NO_DENOMINATOR)
 
 
 def kpi_retention(star: Star, p: KpiParams) -> DataFrame:
     """K7: share of personas with at least two requests in the period."""
-    per_persona = filtered_star(star, p).groupBy("fiscal_code_hash").agg(F.count(F.lit(1)).alias("n"))
+    per_persona = (filtered_star(star, p, ("fiscal_code_hash",), ())
+                   .groupBy("fiscal_code_hash").agg(F.count(F.lit(1)).alias("n")))
     agg = per_persona.agg(
         (F.sum(F.when(F.col("n") >= 2, 1).otherwise(0)).cast("double")
          / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("value"))
@@ -142,7 +156,7 @@ def kpi_retention(star: Star, p: KpiParams) -> DataFrame:
 
 def kpi_revenue_by_province(star: Star, p: KpiParams) -> DataFrame:
     """K5: revenue and count of completed requests per province, revenue desc."""
-    return (_done(filtered_star(star, p))
+    return (_done(filtered_star(star, p, ("province",), ()))
             .groupBy("province")
             .agg(money_sum("price").alias("revenue_in_province"),
                  F.count(F.lit(1)).alias("n_requests_in_province"))
@@ -157,7 +171,7 @@ def kpi_summary(star: Star, p: KpiParams) -> DataFrame:
     aggregation.
     """
     done = (F.col("is_cancelled") == 0) & (F.col("is_completed") == 1)
-    per_persona = filtered_star(star, p).groupBy("fiscal_code_hash").agg(
+    per_persona = filtered_star(star, p, ("fiscal_code_hash",), ()).groupBy("fiscal_code_hash").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(done, F.round(F.col("price") * 100).cast("bigint"))).alias("cents"),
         F.sum(F.when(done, F.col("service_duration_minutes")).cast("bigint")).alias("dur_sum"),
@@ -184,7 +198,7 @@ def kpi_summary(star: Star, p: KpiParams) -> DataFrame:
 
 def trend_daily(star: Star, p: KpiParams) -> DataFrame:
     """Requests per day; days without requests are absent."""
-    return (filtered_star(star, p)
+    return (filtered_star(star, p, (), ())
             .groupBy(F.date_format("full_date", "yyyy-MM-dd").alias("period_label"))
             .agg(F.count(F.lit(1)).alias("n_requests"))
             .orderBy("period_label"))
@@ -192,7 +206,7 @@ def trend_daily(star: Star, p: KpiParams) -> DataFrame:
 
 def trend_weekly(star: Star, p: KpiParams) -> DataFrame:
     """Requests per ``%Y-W%W`` week."""
-    return (filtered_star(star, p)
+    return (filtered_star(star, p, (), ())
             .groupBy(week_label("full_date").alias("period_label"))
             .agg(F.count(F.lit(1)).alias("n_requests"))
             .orderBy("period_label"))
@@ -210,7 +224,7 @@ def trend(star: Star, p: KpiParams) -> DataFrame:
 def top_suppliers(star: Star, p: KpiParams, k: int = 5) -> DataFrame:
     """Top-k suppliers by revenue of completed requests. Grouped by key so
     equal names stay apart; key breaks revenue ties."""
-    grouped = (_done(filtered_star(star, p))
+    grouped = (_done(filtered_star(star, p, (), ("supplier_name", "category")))
                .groupBy("supplier_key", "supplier_name", "category")
                .agg(money_sum("price").alias("revenue_eur"), F.count(F.lit(1)).alias("n_requests")))
     return (grouped.orderBy(F.col("revenue_eur").desc(), F.col("supplier_key").asc())
@@ -220,7 +234,7 @@ def top_suppliers(star: Star, p: KpiParams, k: int = 5) -> DataFrame:
 
 def province_category(star: Star, p: KpiParams) -> DataFrame:
     """Requests per province x category; empty cells absent."""
-    return (filtered_star(star, p)
+    return (filtered_star(star, p, ("province",), ("category",))
             .groupBy("province", "category")
             .agg(F.count(F.lit(1)).alias("n_requests"))
             .orderBy("province", "category"))

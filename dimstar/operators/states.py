@@ -116,8 +116,12 @@ def run_machine(events: DataFrame, entity: str, order_cols: Sequence[str], event
     entities = ev.select("_e").distinct()
     frontier = entities.select("_e", F.lit(initial).alias("_st"), F.lit(None).cast(ev.schema["_pos"].dataType).alias("_p"))
     steps = []
+    level = {initial}
     for rnd in range(1, _longest_path(transitions, initial) + 1):
-        cand = (ev.join(frontier, "_e")
+        # only events some state of this depth accepts can be the next step
+        accepted_here = sorted({e for a, e, _ in transitions if a in level})
+        level = {b for a, _, b in transitions if a in level}
+        cand = (ev.where(F.col("_ev").isin(accepted_here)).join(frontier, "_e")
                   .where(F.col("_p").isNull() | (F.col("_pos") > F.col("_p")))
                   .join(tt, ["_st", "_ev"]))
         nxt = cand.groupBy("_e").agg(F.min(F.struct("_pos", "next_state")).alias("_m"))

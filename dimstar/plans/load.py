@@ -15,7 +15,7 @@ from ..model import Star
 from ..operators import validation as V
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
-from ..operators.checks import enforce_fks
+from ..operators.checks import ForeignKeyViolation, enforce_fks
 from ..operators.fact import asof_cardinality, build_request_fact
 from ..operators.states import filter_unreachable
 from ..sources import driver
@@ -86,6 +86,10 @@ def check_fact_keys(loaded: Loaded) -> None:
     card = asof_cardinality(loaded.fact, "customer_key", "request_id").collect()[0]
     if card["n_unmatched"]:
         raise UnresolvedVersion(f"{card['n_unmatched']} requests have no customer version at their time")
+    keys = ("supplier_key", "operator_key", "date_key")
+    nulls = loaded.fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in keys]).collect()[0]
+    if any(nulls[c] for c in keys):
+        raise ForeignKeyViolation(", ".join(f"{c}: {nulls[c]} NULL" for c in keys if nulls[c]))
     enforce_fks(loaded.fact, [("customer_key", loaded.customer_dim, "customer_key"),
                               ("supplier_key", loaded.supplier_dim, "supplier_key"),
                               ("operator_key", loaded.operator_dim, "operator_key"),
@@ -128,21 +132,23 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     out["request_fact"] = f"{base}/request_fact"
     loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
     out["quarantine"] = f"{base}/quarantine"
-    spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/{POINTER}")
+    # pointer: the version folder, and whether its keys were verified
+    spark.createDataFrame([(base, "true" if check else "false")], "version string, fk_checked string") \
+         .coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{POINTER}")
     return out
 
 
-def current_version(spark: SparkSession, path: str) -> str:
-    """The folder the pointer names (one row)."""
-    return spark.read.text(f"{path.rstrip('/')}/{POINTER}").first()["value"]
+def current_version(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """The folder the pointer names and whether its keys were verified (one row)."""
+    row = spark.read.schema("version string, fk_checked string").json(f"{path.rstrip('/')}/{POINTER}").first()
+    return row["version"], row["fk_checked"] == "true"
 
 
 def read_warehouse(spark: SparkSession, path: str, calendar: tuple[dt.date, dt.date] | None = None) -> Star:
     """The current version of the star back from Parquet; ``date_month``
     stays a partition column so K0's period predicate prunes directories."""
-    base = current_version(spark, path)
+    base, checked = current_version(spark, path)
     fact = spark.read.parquet(f"{base}/request_fact")
     return Star(fact, spark.read.parquet(f"{base}/time_dim"), spark.read.parquet(f"{base}/customer_dim"),
                 spark.read.parquet(f"{base}/supplier_dim"), spark.read.parquet(f"{base}/operator_dim"),
-                calendar_days(*calendar) if calendar else None)
+                calendar_days(*calendar) if calendar else None, fk_checked=checked)
