@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,20 @@ DAILY_LABEL = r"^\d{4}-\d{2}-\d{2}$"
 WEEKLY_LABEL = r"^\d{4}-W\d{2}$"
 
 
+def merge_one_row(**frames: tuple[DataFrame, str, str]) -> DataFrame:
+    """Put the values of several one-row aggregates side by side without a
+    join: each ``name=(frame, column, type)`` becomes one tagged row of a
+    union (values as double: exact for counts below 2**53), folded back into
+    one row by a single aggregation."""
+    parts = [df.select(F.lit(name).alias("_name"), F.col(col).cast("double").alias("_v"))
+             for name, (df, col, _) in frames.items()]
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x)
+    return u.agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).cast(typ).alias(name)
+                   for name, (_, _, typ) in frames.items()])
+
+
 def as_result(df: DataFrame, name: str, message: Column) -> DataFrame:
     """Q9 envelope of a one-row check."""
     return df.select(F.lit(name).alias("name"), F.col("ok").cast("boolean").alias("ok"),
@@ -33,8 +47,9 @@ def report(results: Iterable[DataFrame]) -> DataFrame:
     out = rs[0]
     for r in rs[1:]:
         out = out.unionByName(r)
-    totals = out.agg(F.count(F.lit(1)).alias("n_checks"), F.count_if(F.col("ok")).alias("n_passed"))
-    return out.crossJoin(F.broadcast(totals))  # totals: exactly one row
+    everything = Window.partitionBy()  # one row per check: a handful of rows
+    return out.select("*", F.count(F.lit(1)).over(everything).alias("n_checks"),
+                      F.count_if(F.col("ok")).over(everything).alias("n_passed"))
 
 
 # ---------------------------------------------------------------- S6, S11, S12
@@ -57,19 +72,19 @@ def not_null_unique(df: DataFrame, table: str, not_null: Sequence[str], key: Seq
                     unique: Sequence[Sequence[str]] = ()) -> DataFrame:
     """S11 constraint check: NULLs in NOT NULL columns, duplicated primary keys
     and duplicated UNIQUE column sets (one row per table)."""
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in not_null],
-                   F.count(F.lit(1)).alias("n_rows"))
-    null_total = sum((F.col(f"_n_{c}") for c in not_null), F.lit(0))
-    dup_pk = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-                .agg(F.count(F.lit(1)).alias("dup_keys")))
-    out = nulls.select("n_rows", null_total.cast("bigint").alias("null_violations")).crossJoin(dup_pk)
-    uniq_cols = []
+    nulls = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                   sum((F.count_if(F.col(c).isNull()) for c in not_null), F.lit(0)).alias("nv"))
+
+    def dup_groups(cols):
+        return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                  .agg(F.count(F.lit(1)).alias("d")))
+
+    frames = {"n_rows": (nulls, "n_rows", "bigint"), "null_violations": (nulls, "nv", "bigint"),
+              "dup_keys": (dup_groups(key), "d", "bigint")}
     for i, cols in enumerate(unique):
-        d = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-               .agg(F.count(F.lit(1)).alias(f"_u{i}")))
-        out = out.crossJoin(d)  # one-row aggregates
-        uniq_cols.append(F.col(f"_u{i}"))
-    dup_unique = sum(uniq_cols, F.lit(0)).cast("bigint")
+        frames[f"_u{i}"] = (dup_groups(cols), "d", "bigint")
+    out = merge_one_row(**frames)
+    dup_unique = sum((F.col(f"_u{i}") for i in range(len(unique))), F.lit(0)).cast("bigint")
     return out.select(F.lit(table).alias("table"), "n_rows", "null_violations", "dup_keys",
                       dup_unique.alias("dup_unique"),
                       ((F.col("null_violations") == 0) & (F.col("dup_keys") == 0) & (dup_unique == 0)).alias("ok"))
@@ -148,14 +163,20 @@ def hash_unique_check(fact: DataFrame, hash_col: str = "hash_record") -> DataFra
                 .withColumn("ok", F.col("n_rows") == F.col("n_distinct")))
 
 
-def share_check(df: DataFrame, col: str, expected: DataFrame) -> DataFrame:
-    """Q8: share of each value vs ``expected (value, target, tolerance)``; a
-    missing value counts as share 0; an empty table fails every row."""
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    observed = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    j = (expected.join(observed, "value", "left").crossJoin(F.broadcast(total))  # one row
-                 .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
-                 .withColumn("share", F.when(F.col("_total") > 0, F.col("n") / F.col("_total"))))
+def share_check(df: DataFrame, col: str, expected: Sequence[tuple[str, float, float]]) -> DataFrame:
+    """Q8: share of each value vs ``expected`` ``(value, target, tolerance)``;
+    a missing value counts as share 0; an empty table fails every row.
+
+    One pass: a conditional count per expected value plus the total, then the
+    row is unpivoted into one row per expected value."""
+    counts = df.agg(F.count(F.lit(1)).alias("_total"),
+                    *[F.count_if(F.col(col) == F.lit(v)).alias(f"_c{i}") for i, (v, _, _) in enumerate(expected)])
+    stacked = counts.select("_total", F.explode(F.array(*[
+        F.struct(F.lit(v).alias("value"), F.col(f"_c{i}").cast("bigint").alias("n"),
+                 F.lit(float(t)).alias("target"), F.lit(float(tol)).alias("tolerance"))
+        for i, (v, t, tol) in enumerate(expected)])).alias("_e"))
+    j = stacked.select("_total", "_e.*").withColumn(
+        "share", F.when(F.col("_total") > 0, F.col("n") / F.col("_total")))
     return j.select("value", "n", "share", "target", "tolerance",
                     F.coalesce(F.abs(F.col("share") - F.col("target")) <= F.col("tolerance"),
                                F.lit(False)).alias("ok"))
@@ -165,22 +186,22 @@ def share_check(df: DataFrame, col: str, expected: DataFrame) -> DataFrame:
 
 def kpi_reconcile(star: Star, p: KpiParams, eps: float = 1e-6) -> DataFrame:
     """Q11: KPI 6 x KPI 1 = number of cancelled rows (within ``eps``)."""
-    base = kpis.filtered_star(star, p)
-    k1 = kpis.kpi_request_count(star, p).select(F.col("value").alias("k1"))
-    k6 = kpis.kpi_cancel_rate(star, p).select(F.col("value").alias("k6"))
+    base = kpis.filtered_star(star, p, (), ())
     n_c = base.agg(F.coalesce(F.sum("is_cancelled"), F.lit(0)).cast("bigint").alias("n_cancelled"))
-    return (k1.crossJoin(k6).crossJoin(n_c)  # three one-row aggregates
+    return (merge_one_row(k1=(kpis.kpi_request_count(star, p), "value", "bigint"),
+                          k6=(kpis.kpi_cancel_rate(star, p), "value", "double"),
+                          n_cancelled=(n_c, "n_cancelled", "bigint"))
               .withColumn("ok", F.coalesce(F.abs(F.col("k6") * F.col("k1") - F.col("n_cancelled")) <= eps,
                                            F.col("k1") == 0)))
 
 
 def ratio_range(star: Star, p: KpiParams) -> DataFrame:
     """Q12: 0 <= KPI 6, KPI 7 <= 1 (NULL on an empty set passes)."""
-    k6 = kpis.kpi_cancel_rate(star, p).select(F.col("value").alias("cancel_rate"))
-    k7 = kpis.kpi_retention(star, p).select(F.col("value").alias("retention"))
+    both = merge_one_row(cancel_rate=(kpis.kpi_cancel_rate(star, p), "value", "double"),
+                         retention=(kpis.kpi_retention(star, p), "value", "double"))
     ok = (F.coalesce(F.col("cancel_rate").between(0, 1), F.col("cancel_rate").isNull())
           & F.coalesce(F.col("retention").between(0, 1), F.col("retention").isNull()))
-    return k6.crossJoin(k7).withColumn("ok", ok)
+    return both.withColumn("ok", ok)
 
 
 def label_format(trend: DataFrame, granularity: str) -> DataFrame:
@@ -193,9 +214,9 @@ def label_format(trend: DataFrame, granularity: str) -> DataFrame:
 
 def filter_monotonic(star: Star, p_all: KpiParams, p_filtered: KpiParams) -> DataFrame:
     """Q14: 0 < KPI 1 (filtered) < KPI 1 (all)."""
-    a = kpis.kpi_request_count(star, p_all).select(F.col("value").alias("n_all"))
-    f = kpis.kpi_request_count(star, p_filtered).select(F.col("value").alias("n_filtered"))
-    return a.crossJoin(f).withColumn("ok", (F.col("n_filtered") > 0) & (F.col("n_filtered") < F.col("n_all")))
+    both = merge_one_row(n_all=(kpis.kpi_request_count(star, p_all), "value", "bigint"),
+                         n_filtered=(kpis.kpi_request_count(star, p_filtered), "value", "bigint"))
+    return both.withColumn("ok", (F.col("n_filtered") > 0) & (F.col("n_filtered") < F.col("n_all")))
 
 
 def star_checks(spark: SparkSession, star: Star, expected_rows: DataFrame | None = None) -> DataFrame:

@@ -51,8 +51,7 @@ def check_hash_unique(spark, sf_dir):
 
 
 def check_status_share(spark, sf_dir):
-    exp = spark.createDataFrame([(v, t, SHARE_TOLERANCE) for v, t in SHARE_TARGETS],
-                                "value string, target double, tolerance double")
+    exp = [(v, t, SHARE_TOLERANCE) for v, t in SHARE_TARGETS]
     return C.share_check(driver.driver_star(spark, sf_dir).fact, "status", exp)
 
 
