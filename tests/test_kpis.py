@@ -70,3 +70,19 @@ def test_invariants(star):
     assert C.label_format(K.trend_weekly(star, FULL), "weekly").collect()[0].ok
     assert C.label_format(K.trend_daily(star, KpiParams.of("1996-01-01", "1996-03-31")), "daily").collect()[0].ok
     assert K.top_suppliers(star, FULL).count() == 5
+
+
+def test_empty_string_is_a_real_filter(star):
+    # only None switches a filter off; '' matches no province
+    r = K.kpi_request_count(star, KpiParams.of("1995-01-01", "2001-12-31", province="")).collect()[0]
+    assert r.value == 0 and r.province == ""
+
+
+def test_null_parameters_fold_away(spark, star):
+    from dimstar.plans.sql_api import CANCEL_RATE_SQL, run_sql
+    df = run_sql(spark, star, CANCEL_RATE_SQL, FULL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "province" not in plan.split("Join")[0] or "NATION" not in plan
+    a = df.collect()[0].value
+    b = K.kpi_cancel_rate(star, FULL).collect()[0].value
+    assert abs(a - b) < 1e-12
