@@ -82,7 +82,7 @@ def test_null_parameters_fold_away(spark, star):
     from dimstar.plans.sql_api import CANCEL_RATE_SQL, run_sql
     df = run_sql(spark, star, CANCEL_RATE_SQL, FULL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "province" not in plan.split("Join")[0] or "NATION" not in plan
+    assert "province" not in plan and "category" not in plan  # both filters folded, columns pruned
     a = df.collect()[0].value
     b = K.kpi_cancel_rate(star, FULL).collect()[0].value
     assert abs(a - b) < 1e-12
