@@ -1,4 +1,5 @@
-"""Registered round trips through CSV and through the Parquet warehouse."""
+"""Registered round trips through CSV and through the Parquet warehouse, and
+the KPI queries run as Spark SQL text with named parameters."""
 
 from __future__ import annotations
 
@@ -9,11 +10,14 @@ from ..sources import csv as CSV
 from ..sources import driver
 from .load import load_driver, read_warehouse, write_warehouse
 from .oracle_etl import with_etl
-from .registry import FULL
+from .oracle_star import base_cte
+from .registry import CATEGORY, FULL
 from .registry_checks import SQL as CHECK_SQL
+from .sql_api import CANCEL_RATE_SQL, REVENUE_BY_PROVINCE_SQL, run_sql
 
 
 def _round_trip(entity: str, build):
+    """S13 + S14 then S1-S5: write the entity as CSV, read it back typed."""
     def run(spark, sf_dir):
         path = scratch_path(spark, f"csv-{entity}")
         CSV.write_entity(build(spark, sf_dir), path)
@@ -22,8 +26,8 @@ def _round_trip(entity: str, build):
 
 
 def rebuild_idempotent(spark, sf_dir):
-    """Two full loads into the same folder, then K10 read back from
-    Parquet; equals K10 of one load."""
+    """Two full loads into the same warehouse folder, then K10 read
+    back from Parquet; equals K10 of one load."""
     path = scratch_path(spark, "warehouse")
     for _ in range(2):
         write_warehouse(load_driver(spark, sf_dir), path)
@@ -31,52 +35,37 @@ def rebuild_idempotent(spark, sf_dir):
     return kpis.kpi_summary(star, KpiParams.of(*FULL))
 
 
+def kpi_cancel_rate_sql(spark, sf_dir):
+    """K6 + K8 as SQL text, NULL parameters switch filters off."""
+    return run_sql(spark, driver.driver_star(spark, sf_dir), CANCEL_RATE_SQL, KpiParams.of(*FULL))
+
+
+def kpi_revenue_by_province_sql(spark, sf_dir):
+    """K5 + K8 as SQL text with a category argument."""
+    return run_sql(spark, driver.driver_star(spark, sf_dir), REVENUE_BY_PROVINCE_SQL,
+                   KpiParams.of(*FULL, category=CATEGORY))
+
+
 SQL = {
     "csv_round_trip_customers": with_etl("SELECT * FROM customers"),
     "csv_round_trip_requests": with_etl("SELECT * FROM requests"),
     "rebuild_idempotent": CHECK_SQL["warehouse_kpi_summary"],
+    "kpi_cancel_rate_sql": base_cte(*FULL) + """
+SELECT CAST(SUM(is_cancelled) AS DOUBLE) / NULLIF(COUNT(*), 0) AS value FROM base""",
+    "kpi_revenue_by_province_sql": base_cte(*FULL, None, CATEGORY) + """
+SELECT province, SUM(CAST(ROUND(price * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS revenue_in_province,
+       COUNT(*) AS n_requests_in_province
+FROM base WHERE is_cancelled = 0 AND is_completed = 1 GROUP BY province""",
 }
 
 BUILDERS = {
     "csv_round_trip_customers": _round_trip("customers", driver.customers_entity),
     "csv_round_trip_requests": _round_trip("requests", driver.requests_entity),
     "rebuild_idempotent": rebuild_idempotent,
+    "kpi_cancel_rate_sql": kpi_cancel_rate_sql,
+    "kpi_revenue_by_province_sql": kpi_revenue_by_province_sql,
 }
 
 
 def entries() -> dict:
     return {name: (b, SQL.get(name)) for name, b in BUILDERS.items()}
-
-
-def kpi_cancel_rate_sql(spark, sf_dir):
-    from .sql_api import CANCEL_RATE_SQL, run_sql
-    return run_sql(spark, driver.driver_star(spark, sf_dir), CANCEL_RATE_SQL, KpiParams.of(*FULL))
-
-
-def kpi_revenue_by_province_sql(spark, sf_dir):
-    from .registry import CATEGORY
-    from .sql_api import REVENUE_BY_PROVINCE_SQL, run_sql
-    return run_sql(spark, driver.driver_star(spark, sf_dir), REVENUE_BY_PROVINCE_SQL,
-                   KpiParams.of(*FULL, category=CATEGORY))
-
-
-def _sql_entries():
-    from .oracle_star import base_cte
-    from .registry import CATEGORY
-    return {
-        "kpi_cancel_rate_sql": (kpi_cancel_rate_sql, base_cte(*FULL) + """
-SELECT CAST(SUM(is_cancelled) AS DOUBLE) / NULLIF(COUNT(*), 0) AS value FROM base"""),
-        "kpi_revenue_by_province_sql": (kpi_revenue_by_province_sql, base_cte(*FULL, None, CATEGORY) + """
-SELECT province, SUM(CAST(ROUND(price * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS revenue_in_province,
-       COUNT(*) AS n_requests_in_province
-FROM base WHERE is_cancelled = 0 AND is_completed = 1 GROUP BY province"""),
-    }
-
-
-_plain_entries = entries
-
-
-def entries() -> dict:  # noqa: F811
-    out = _plain_entries()
-    out.update(_sql_entries())
-    return out
