@@ -47,7 +47,7 @@ def build(customers: DataFrame, suppliers: DataFrame, operators: DataFrame, requ
     # M5: statuses the state machine cannot reach are rejected too, and counted.
     r_ok, r_q = filter_unreachable(val.requests_ok)
     val = V.Validated(val.customers_ok, val.suppliers_ok, val.operators_ok, r_ok,
-                      val.quarantine.unionByName(r_q), val.totals)
+                      val.quarantine.unionByName(r_q), val.totals, val.cached)
     summary = V.validation_summary(val.totals, val.quarantine,
                                    REJECT_RATIO_LIMIT if gate_limit is None else gate_limit)
     if gate_limit is not None:
@@ -132,6 +132,7 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     out["request_fact"] = f"{base}/request_fact"
     loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
     out["quarantine"] = f"{base}/quarantine"
+    loaded.validated.release()
     # pointer: the version folder, and whether its keys were verified
     spark.createDataFrame([(base, "true" if check else "false")], "version string, fk_checked string") \
          .coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{POINTER}")
