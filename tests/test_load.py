@@ -46,3 +46,30 @@ def test_fk_orphans_use_not_in_semantics(spark):
     with pytest.raises(ForeignKeyViolation):
         enforce_fks(fact, [("k", dim, "k")])
     assert fk_orphans(fact.where(F.col("k") != 2), [("k", dim, "k")]).collect()[0].ok
+
+
+def test_not_null_contract_catches_null_birth_date(spark):
+    from dimstar.operators.checks import not_null_unique
+    from dimstar.operators.dims import build_customer_dim_scd2
+    val = V.validate_all(FX.customers(spark), FX.suppliers(spark), FX.operators(spark), FX.requests(spark))
+    dim = build_customer_dim_scd2(val.customers_ok)
+    r = not_null_unique(dim, "customer_dim", ["customer_key", "birth_date"], ["customer_key"]).collect()[0]
+    assert (r.n_rows, r.null_violations, r.dup_keys, r.ok) == (3, 1, 0, False)
+
+
+def test_unreachable_status_is_quarantined(spark):
+    from dimstar.operators.states import filter_unreachable
+    df = spark.createDataFrame([(1, "booked"), (2, "open"), (3, None), (4, "invoiced")], "id int, status string")
+    ok, q = filter_unreachable(df)
+    assert sorted(r.id for r in ok.collect()) == [1, 4]
+    assert sorted(r.key for r in q.collect()) == ["2", "3"]
+
+
+def test_share_check_missing_and_empty(spark):
+    from dimstar.operators.checks import share_check
+    exp = [("a", 0.5, 0.1), ("b", 0.5, 0.1), ("c", 0.0, 0.01)]
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("b",)], "s string")
+    got = {r.value: (r.n, r.share, r.ok) for r in share_check(df, "s", exp).collect()}
+    assert got == {"a": (2, 0.5, True), "b": (2, 0.5, True), "c": (0, 0.0, True)}
+    empty = share_check(df.where("false"), "s", exp).collect()
+    assert all(r.ok is False and r.share is None for r in empty)
