@@ -1 +1 @@
-"""dimstar package."""
+"""Fixed values and column expressions (calendar, row hash)."""

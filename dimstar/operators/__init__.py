@@ -1 +1 @@
-"""dimstar package."""
+"""DataFrame operators: validation, states, dimensions, fact, KPIs, checks."""

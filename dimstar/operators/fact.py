@@ -62,7 +62,7 @@ def resolve_customer_key(requests: DataFrame, customers_ok: DataFrame, customer_
     return res.drop("_persona")
 
 
-def asof_cardinality(resolved: DataFrame, key_col: str = "customer_key", id_col: str = "id") -> DataFrame:
+def asof_cardinality(resolved: DataFrame, key_col: str = "customer_key") -> DataFrame:
     """probes without exactly one version (one row ``n_probes, n_matched,
     n_unmatched``); the load fails when ``n_unmatched > 0``."""
     return resolved.agg(

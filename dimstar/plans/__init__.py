@@ -1 +1 @@
-"""dimstar package."""
+"""Plans: the load, registered queries and their oracle SQL, the SQL API."""

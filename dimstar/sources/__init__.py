@@ -1 +1 @@
-"""dimstar package."""
+"""Sources and sinks: entity CSV files, the driver tables."""
