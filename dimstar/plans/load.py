@@ -7,6 +7,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from ..operators import validation as V
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
 from ..operators.checks import ForeignKeyViolation, enforce_fks
-from ..operators.fact import asof_cardinality, build_request_fact
+from ..operators.fact import build_request_fact
 from ..operators.states import filter_unreachable
 from ..sources import driver
 from ..sources.driver import RuleConfig
@@ -79,21 +80,21 @@ class UnresolvedVersion(RuntimeError):
     pass
 
 
-def check_fact_keys(loaded: Loaded) -> None:
+def check_fact_keys(loaded: Loaded, fact: DataFrame | None = None) -> None:
     """F3 + S12 before the fact is written: every request found exactly one
-    customer version, and no foreign key of the fact is orphaned. Each check
-    collects one small aggregate row per key."""
-    card = asof_cardinality(loaded.fact, "customer_key").collect()[0]
-    if card["n_unmatched"]:
-        raise UnresolvedVersion(f"{card['n_unmatched']} requests have no customer version at their time")
-    keys = ("supplier_key", "operator_key", "date_key")
-    nulls = loaded.fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in keys]).collect()[0]
+    customer version, no key is NULL, and no foreign key is orphaned. Two
+    actions, each collecting one small row per check."""
+    fact = loaded.fact if fact is None else fact
+    keys = ("customer_key", "supplier_key", "operator_key", "date_key")
+    nulls = fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in keys]).collect()[0]
+    if nulls["customer_key"]:
+        raise UnresolvedVersion(f"{nulls['customer_key']} requests have no customer version at their time")
     if any(nulls[c] for c in keys):
         raise ForeignKeyViolation(", ".join(f"{c}: {nulls[c]} NULL" for c in keys if nulls[c]))
-    enforce_fks(loaded.fact, [("customer_key", loaded.customer_dim, "customer_key"),
-                              ("supplier_key", loaded.supplier_dim, "supplier_key"),
-                              ("operator_key", loaded.operator_dim, "operator_key"),
-                              ("date_key", loaded.time_dim, "date_key")])
+    enforce_fks(fact, [("customer_key", loaded.customer_dim, "customer_key"),
+                       ("supplier_key", loaded.supplier_dim, "supplier_key"),
+                       ("operator_key", loaded.operator_dim, "operator_key"),
+                       ("date_key", loaded.time_dim, "date_key")])
 
 
 POINTER = "_current"
@@ -116,8 +117,10 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     import uuid
 
     spark = loaded.fact.sparkSession
+    # the fact feeds the key checks and the write: keep it for their duration
+    kept = loaded.fact.persist(StorageLevel.MEMORY_AND_DISK)
     if check:
-        check_fact_keys(loaded)
+        check_fact_keys(loaded, kept)
     version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     base = f"{path.rstrip('/')}/v={version}"
     out = {}
@@ -125,13 +128,14 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
                      ("supplier_dim", loaded.supplier_dim), ("operator_dim", loaded.operator_dim)):
         df.write.mode("errorifexists").parquet(f"{base}/{name}")
         out[name] = f"{base}/{name}"
-    fact = loaded.fact.withColumn("date_month", (F.col("date_key") / 100).cast("int"))
+    fact = kept.withColumn("date_month", (F.col("date_key") / 100).cast("int"))
     (fact.repartitionByRange("date_key", "request_id").sortWithinPartitions("date_key", "request_id")
          .write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("date_month").parquet(f"{base}/request_fact"))
     out["request_fact"] = f"{base}/request_fact"
     loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
     out["quarantine"] = f"{base}/quarantine"
+    kept.unpersist(blocking=False)
     loaded.validated.release()
     # pointer: the version folder, and whether its keys were verified
     spark.createDataFrame([(base, "true" if check else "false")], "version string, fk_checked string") \
