@@ -46,9 +46,7 @@ def build(customers: DataFrame, suppliers: DataFrame, operators: DataFrame, requ
     spark = customers.sparkSession
     val = V.validate_all(customers, suppliers, operators, requests, cfg)
     # M5: statuses the state machine cannot reach are rejected too, and counted.
-    r_ok, r_q = filter_unreachable(val.requests_ok)
-    val = V.Validated(val.customers_ok, val.suppliers_ok, val.operators_ok, r_ok,
-                      val.quarantine.unionByName(r_q), val.totals, val.cached)
+    val = val.map_requests(filter_unreachable)
     summary = V.validation_summary(val.totals, val.quarantine,
                                    REJECT_RATIO_LIMIT if gate_limit is None else gate_limit)
     if gate_limit is not None:

@@ -15,8 +15,7 @@ from .oracle_etl import with_etl
 
 def _rules(table: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        q = validated_driver(spark, sf_dir).quarantine
-        return q.where(F.col("table") == table)
+        return validated_driver(spark, sf_dir).quarantine_of(table)
     return run
 
 
