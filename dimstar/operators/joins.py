@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def measured(smalls: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+def measured(smalls: list[DataFrame], max_rows: int | None = None,
              kept: list | None = None) -> list[DataFrame]:
     """Persist ``smalls``, count them in one job (one row per side comes back)
     and return each one broadcast-hinted when its count is at most
     ``max_rows``, unchanged otherwise. The persisted frames are appended to
     ``kept`` so the caller can release them."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     smalls = [s.persist(StorageLevel.MEMORY_AND_DISK) for s in smalls]
     if kept is not None:
         kept.extend(smalls)
