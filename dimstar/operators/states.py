@@ -47,7 +47,7 @@ def reachable_states(transitions: Transitions = TRANSITIONS, initial: str = INIT
 
 def validate_trajectory(target: str | None, cancel_from: str | None = None,
                         transitions: Transitions = TRANSITIONS) -> bool:
-    """M4 with the reference's minimal-path reading: create, then either the
+    """M4 with the source system's minimal-path reading: create, then either the
     full path (confirm, complete, invoice) up to ``target`` or a cancel from
     booked (default) or confirmed."""
     table = {(a, e): b for a, e, b in transitions}

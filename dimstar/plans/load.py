@@ -67,7 +67,7 @@ def validated_driver(spark: SparkSession, sf_dir: str) -> V.Validated:
 
 def load_driver(spark: SparkSession, sf_dir: str, gate_limit: float | None = None) -> Loaded:
     """The load over the driver tables. Their reject ratios are far above the
-    reference's 5 % (duplicate line keys), so the gate is reported, not
+    source system's 5 % (duplicate line keys), so the gate is reported, not
     enforced, unless a limit is given."""
     return build(driver.customers_entity(spark, sf_dir), driver.suppliers_entity(spark, sf_dir),
                  driver.operators_entity(spark, sf_dir), driver.requests_entity(spark, sf_dir),

@@ -47,7 +47,7 @@ class RuleConfig:
     request_cutoff: dt.datetime
 
 
-def reference_rules() -> RuleConfig:
+def default_rules() -> RuleConfig:
     from ..functions import constants as k
     return RuleConfig(k.CUSTOMER_STATUSES, k.SUPPLIER_CATEGORIES, k.OPERATOR_ACTIVITY_TYPES,
                       k.OPERATOR_STATUSES, k.REQUEST_STATUSES, k.REQUEST_CUTOFF)

@@ -38,7 +38,7 @@ def test_csv_dialect(spark):
     d = tempfile.mkdtemp(prefix="dimstar-csv-")
     path = os.path.join(d, "suppliers.csv")
     text = ('﻿id,name,category,vat_number,city,province,zip_code,email,phone,is_active\n'
-            '1,"Scuola ""Guida""","driving_school",01234567890,Napoli,NA,00185,,,1\n'
+            '1,"Scuola ""Stella""","driving_school",01234567890,Napoli,NA,00185,,,1\n'
             '2,"Multi\nline",motorization,00000000001,Roma,RM,00100,a@b.it,"",0\n'
             '3,Bad,medical_center,1,Roma,RM,00100,,,notanint\n')
     with open(path, "w", encoding="utf-8") as f:
@@ -46,7 +46,7 @@ def test_csv_dialect(spark):
     df = CSV.read_entity(spark, path, "suppliers", keep_corrupt=True)
     good, bad = CSV.split_corrupt(df, "suppliers")
     rows = {r.id: r for r in good.collect()}
-    assert rows[1].name == 'Scuola "Guida"' and rows[1].province == "NA" and rows[1].zip_code == "00185"
+    assert rows[1].name == 'Scuola "Stella"' and rows[1].province == "NA" and rows[1].zip_code == "00185"
     assert rows[1].email is None and rows[1].vat_number == "01234567890"
     assert rows[2].name == "Multi\nline" and rows[2].is_active == 0
     assert [r.key for r in bad.collect()] == ["3"]
