@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable  # noqa: F401  (used in a string annotation)
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,10 @@ class Star:
     # before the warehouse was written): joins that neither filter nor add a
     # column can then be left out.
     fk_checked: bool = False
+    # Optional: builds the fact already joined with a (filtered) customer
+    # dimension ``customer_key, fiscal_code_hash, province``, when the fact is
+    # itself a join and the customer key lives on its smaller side.
+    fact_with_customers: "Callable[[DataFrame], DataFrame] | None" = None
 
 
 def _parse_day(value, name: str) -> dt.date:

@@ -62,7 +62,16 @@ def filtered_star(star: Star, p: KpiParams, customer_cols: tuple[str, ...] = ("f
     (``fk_checked``) a dimension join that neither filters nor adds a needed
     column changes nothing and is left out, which saves a fact-sized shuffle
     when the dimension is too large to broadcast."""
+    need_customers = bool(customer_cols) or p.province is not None or not star.fk_checked
+    cd = None
+    if need_customers:
+        cd = star.customer_dim.select("customer_key", "fiscal_code_hash", "province")
+        if p.province is not None:
+            cd = cd.where(F.col("province") == F.lit(p.province))
     fact = star.fact
+    if cd is not None and star.fact_with_customers is not None:
+        # the customer join happens on the fact's smaller side, before the fact join
+        fact, cd = star.fact_with_customers(cd), None
     pred = period_predicate(fact, p)
     if pred is not None:
         fact = fact.where(pred)
@@ -74,10 +83,7 @@ def filtered_star(star: Star, p: KpiParams, customer_cols: tuple[str, ...] = ("f
     out = fact.join(td, "date_key")
     # customer / supplier sides are not hinted: their size grows with the data,
     # so the planner decides from statistics and AQE from runtime sizes.
-    if customer_cols or p.province is not None or not star.fk_checked:
-        cd = star.customer_dim.select("customer_key", "fiscal_code_hash", "province")
-        if p.province is not None:
-            cd = cd.where(F.col("province") == F.lit(p.province))
+    if cd is not None:
         out = out.join(cd, "customer_key")
     if supplier_cols or p.category is not None or not star.fk_checked:
         sd = star.supplier_dim.select("supplier_key", F.col("name").alias("supplier_name"), "category")

@@ -100,9 +100,16 @@ def persona_hash(c: Column | str) -> Column:
 
 # ---------------------------------------------------------------- star (KPIs)
 
-def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_fact(spark: SparkSession, sf_dir: str, customers: DataFrame | None = None) -> DataFrame:
+    """One row per ``lineitem`` with its ``orders`` row. With ``customers``
+    (``customer_key, fiscal_code_hash, province``) the orders are joined with
+    them first, so the customer join moves orders, not the larger fact."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
+    extra = []
+    if customers is not None:
+        o = o.join(customers, o.o_custkey == customers.customer_key).drop("customer_key")
+        extra = [F.col("fiscal_code_hash"), F.col("province")]
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     status = request_status()
     done = status.isin("completed", "invoiced")
@@ -122,6 +129,7 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("request_datetime"),
         F.when(done, F.col("l_shipdate")).alias("completed_datetime"),
         F.when(F.col("l_returnflag") == "R", F.col("o_orderpriority")).alias("notes"),
+        *extra,
     )
 
 
@@ -167,6 +175,7 @@ def driver_star(spark: SparkSession, sf_dir: str) -> Star:
         supplier_dim=star_supplier_dim(spark, sf_dir),
         operator_dim=star_operator_dim(spark, sf_dir),
         calendar_days=calendar_days(start, end),
+        fact_with_customers=lambda cd: star_fact(spark, sf_dir, cd),
     )
 
 
