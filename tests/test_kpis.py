@@ -86,3 +86,13 @@ def test_null_parameters_fold_away(spark, star):
     a = df.collect()[0].value
     b = K.kpi_cancel_rate(star, FULL).collect()[0].value
     assert abs(a - b) < 1e-12
+
+
+def test_customer_join_on_orders_side_is_equivalent(star):
+    """The driver star joins customers on the orders side; without the hook
+    the plain K0 order must give the same results."""
+    from dataclasses import replace
+    plain = replace(star, fact_with_customers=None)
+    for p in (FULL, KpiParams.of("1996-01-01", "1996-12-31", province="NATION_3", category="EUROPE")):
+        for fn in (K.kpi_summary, K.province_category, K.top_suppliers, K.trend_weekly):
+            assert sorted(fn(star, p).collect()) == sorted(fn(plain, p).collect()), fn.__name__
