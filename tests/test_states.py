@@ -56,3 +56,38 @@ def test_cyclic_table_is_refused(spark):
     ev = _events(spark, {"a": ["x"]})
     with pytest.raises(ValueError):
         S.run_machine(ev, "entity", ["ts"], "event", transitions=[("initial", "x", "s"), ("s", "y", "initial")])
+
+
+def _fold(events, transitions=S.TRANSITIONS):
+    table = {(a, e): b for a, e, b in transitions}
+    state, accepted, first_bad = "initial", 0, None
+    for eid, ev in events:
+        nxt = table.get((state, ev))
+        if nxt is None:
+            if first_bad is None:
+                first_bad = eid
+        else:
+            state, accepted = nxt, accepted + 1
+    return state, accepted, first_bad
+
+
+def test_runs_equal_sequential_fold_random(spark):
+    import random
+
+    rnd = random.Random(7)
+    names = ["create", "confirm", "complete", "invoice", "cancel", "noise"]
+    rows, eid = [], 0
+    for ent in range(60):
+        n = 300 if ent == 0 else rnd.randint(0, 12)  # one long history
+        for i in range(n):
+            rows.append((f"e{ent}", T(2025, 1, 1) + dt.timedelta(seconds=i * 7 + rnd.randint(0, 3)), eid,
+                         rnd.choice(names)))
+            eid += 1
+    df = spark.createDataFrame(rows, "entity string, ts timestamp_ntz, event_id int, event string")
+    got = {r.entity: (r.final_state, r.n_accepted, r.first_refused_event_id, r.n_events)
+           for r in S.run_machine(df, "entity", ["ts", "event_id"], "event").collect()}
+    ordered = {}
+    for ent, ts, i, ev in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        ordered.setdefault(ent, []).append((i, ev))
+    exp = {ent: (*_fold(evs), len(evs)) for ent, evs in ordered.items()}
+    assert got == exp
