@@ -155,3 +155,42 @@ def test_asof_hot_group_equals_range_join(spark):
         assert r.pid not in exp or exp[r.pid] is None  # at most one version matches
         exp[r.pid] = r.k
     assert got == exp
+
+
+def test_scd2_and_asof_random(spark):
+    """Random registrations (with ties) and probes: SCD2 versions and the
+    as-of lookup equal a plain-Python reading of the half-open intervals."""
+    import random
+
+    rnd = random.Random(11)
+    regs = [(i, f"p{rnd.randint(0, 8)}", T(2025, 1, 1) + dt.timedelta(hours=rnd.randint(0, 40)))
+            for i in range(300)]
+    df = spark.createDataFrame(regs, "id int, g string, ts timestamp_ntz")
+    from dimstar.operators.dims import scd2_versions
+    got = {r.id: (r.valid_to, r.is_current) for r in
+           scd2_versions(df, persona="g", ts="ts", tiebreak="id").collect()}
+    exp = {}
+    by = {}
+    for i, g, ts in sorted(regs, key=lambda r: (r[1], r[2], r[0])):
+        by.setdefault(g, []).append((i, ts))
+    for g, vs in by.items():
+        for k, (i, ts) in enumerate(vs):
+            exp[i] = (vs[k + 1][1] if k + 1 < len(vs) else None, 1 if k + 1 == len(vs) else 0)
+    assert got == exp
+
+    versions = spark.createDataFrame(
+        [(g, ts, exp[i][0], i) for i, g, ts in regs],
+        "g string, valid_from timestamp_ntz, valid_to timestamp_ntz, k int")
+    probes = [(j, f"p{rnd.randint(0, 9)}", T(2025, 1, 1) + dt.timedelta(hours=rnd.randint(-2, 44)))
+              for j in range(500)]
+    pdf = spark.createDataFrame(probes, "pid int, g string, t timestamp_ntz")
+    got = {r.pid: r.k for r in FT.asof_join(pdf, versions, "g", "t", "g", take=["k"], version_order=["k"]).collect()}
+    vmap = {}
+    for i, g, ts in regs:
+        vmap.setdefault(g, []).append((ts, exp[i][0], i))
+    exp2 = {}
+    for j, g, t in probes:
+        hits = [k for (vf, vt, k) in vmap.get(g, []) if vf <= t and (vt is None or t < vt)]
+        assert len(hits) <= 1
+        exp2[j] = hits[0] if hits else None
+    assert got == exp2
