@@ -80,6 +80,8 @@ _READ_OPTIONS = {
     "nanValue": "NaN",
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false",   # text is kept byte for byte
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 
@@ -134,4 +136,6 @@ def write_entity(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (serialise(df).write.mode(mode)
         .option("header", "true").option("nullValue", "").option("emptyValue", '""')
         .option("escape", '"').option("quoteAll", "false")
+        # the writer trims spaces and newlines at both ends by default: keep them
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         .csv(path))
