@@ -275,7 +275,8 @@ def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as request histories: entity ``user_id``, order (ts, event_id)."""
     e = table(spark, sf_dir, "events")
     m = F.create_map(*[F.lit(x) for kv in EVENT_AS_REQUEST_EVENT.items() for x in kv])
-    return e.select("user_id", "ts", "event_id", F.element_at(m, F.col("event_type")).alias("event"))
+    # an unknown event type reads as NULL (refused by the machine), not an error
+    return e.select("user_id", "ts", "event_id", F.try_element_at(m, F.col("event_type")).alias("event"))
 
 
 def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
