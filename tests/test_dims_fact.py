@@ -194,3 +194,24 @@ def test_scd2_and_asof_random(spark):
         assert len(hits) <= 1
         exp2[j] = hits[0] if hits else None
     assert got == exp2
+
+
+def test_dedup_hot_hash_random(spark):
+    """A third of the rows share one hash, some hashes are NULL: dedup keeps
+    the smallest id per hash (NULLs form one group), whole rows intact."""
+    import random
+
+    rnd = random.Random(17)
+    rows = []
+    for i in range(3000):
+        h = "hot" if i % 3 == 0 else rnd.choice([None, *[f"h{k}" for k in range(200)]])
+        rows.append((rnd.randint(0, 10 ** 9) * 10 + i % 10, h, float(i)))
+    df = spark.createDataFrame(rows, "request_id long, hash_record string, price double").repartition(9)
+    best = {}
+    for r in rows:
+        if r[1] not in best or r[0] < best[r[1]][0]:
+            best[r[1]] = r
+    got = sorted(tuple(r) for r in FT.dedup_by_hash(df).collect())
+    assert got == sorted(best.values(), key=lambda r: tuple(r))
+    u = FT.hash_uniqueness(df).collect()[0]
+    assert (u.n_rows, u.n_distinct_hash) == (3000, len([h for h in best if h is not None]))
