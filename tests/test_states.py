@@ -91,3 +91,25 @@ def test_runs_equal_sequential_fold_random(spark):
         ordered.setdefault(ent, []).append((i, ev))
     exp = {ent: (*_fold(evs), len(evs)) for ent, evs in ordered.items()}
     assert got == exp
+
+
+def test_step_matrix_random(spark):
+    import random
+
+    rnd = random.Random(23)
+    names = ["create", "confirm", "complete", "invoice", "cancel", "noise"]
+    rows = []
+    for ent in range(40):
+        for i in range(400 if ent == 0 else rnd.randint(1, 15)):  # one long history
+            rows.append((f"e{ent}", T(2025, 1, 1) + dt.timedelta(seconds=i), len(rows), rnd.choice(names)))
+    df = spark.createDataFrame(rows, "entity string, ts timestamp_ntz, event_id int, event string")
+    got = {(r.prev_event, r.event): (r.n_steps, r.allowed)
+           for r in S.step_matrix(df, "entity", ["ts", "event_id"], "event").collect()}
+    allowed = set(S.allowed_event_pairs())
+    exp, prev = {}, {}
+    for ent, _ts, _i, ev in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        key = (prev.get(ent), ev)
+        n, _ = exp.get(key, (0, False))
+        exp[key] = (n + 1, key in allowed)
+        prev[ent] = ev
+    assert got == exp
