@@ -215,3 +215,23 @@ def test_dedup_hot_hash_random(spark):
     assert got == sorted(best.values(), key=lambda r: tuple(r))
     u = FT.hash_uniqueness(df).collect()[0]
     assert (u.n_rows, u.n_distinct_hash) == (3000, len([h for h in best if h is not None]))
+
+
+def test_calendar_columns_exhaustive():
+    """Every column of the reference calendar (730 days) against plain Python."""
+    from dimstar.functions.constants import (DAY_NAMES_IT, EASTER_DATES_IT, FIXED_HOLIDAYS_IT,
+                                             MONTH_NAMES_IT)
+    from dimstar.session import local_session
+    spark = local_session()
+    rows = build_time_dim(spark).collect()
+    assert len(rows) == 730
+    for r in rows:
+        d = r.full_date
+        hol = EASTER_DATES_IT.get(d.isoformat()) or FIXED_HOLIDAYS_IT.get(d.strftime("%m-%d"))
+        assert r.date_key == int(d.strftime("%Y%m%d"))
+        assert (r.day, r.month, r.year, r.quarter) == (d.day, d.month, d.year, (d.month - 1) // 3 + 1)
+        assert r.month_name_it == MONTH_NAMES_IT[d.month - 1]
+        assert (r.day_of_week, r.day_name_it) == (d.isoweekday(), DAY_NAMES_IT[d.weekday()])
+        assert r.is_weekend == (1 if d.weekday() >= 5 else 0)
+        assert (r.holiday_name_it, r.is_holiday_it) == (hol, 1 if hol else 0)
+        assert r.is_summer == (1 if d.month in (7, 8, 9) else 0)
