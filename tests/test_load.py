@@ -73,3 +73,12 @@ def test_share_check_missing_and_empty(spark):
     assert got == {"a": (2, 0.5, True), "b": (2, 0.5, True), "c": (0, 0.0, True)}
     empty = share_check(df.where("false"), "s", exp).collect()
     assert all(r.ok is False and r.share is None for r in empty)
+
+
+def test_cluster_settings_sizing():
+    from dimstar.session import cluster_settings
+    s = cluster_settings(100 * 1024 ** 4)  # 100 TB
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(s["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == 64 * 1024 ** 2
+    assert int(cluster_settings(10 * 1024 ** 2)["spark.sql.shuffle.partitions"]) == 200  # floor for small inputs
