@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -17,6 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the executors' Python
+    first: they need not have it installed."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def _ship(spark: SparkSession) -> None:
+    if getattr(spark.sparkContext, "_dimstar_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="dimstar-py-")) / "dimstar.zip"  # the driver serves it from here
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    spark.sparkContext._dimstar_shipped = True
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage ends in files that outlive any executor, and later joins on

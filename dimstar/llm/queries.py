@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_dedup
+from . import quality_classifier, quality_rules, simhash_dedup
 from .common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", *quality_rules.BASE, "base_failed", "kept",
+                        F.round("anomaly", 6).alias("anomaly"), "threshold")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -18,6 +29,8 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op2_quality_rules,
+        op4_quality_classifier,
         op9_simhash_near_dedup,
     )}
 

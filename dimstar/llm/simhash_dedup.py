@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, without_ids
+from .common import map_arrow, materialise, without_ids
 from .components import connected_components
 
 SEED = 42
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t.as_py() or b"", shingle) for t in b.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def _segments(max_bits: int) -> list[tuple[int, int, int]]:
