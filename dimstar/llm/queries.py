@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, quality_rules, simhash_dedup
+from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup
 from .common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("row.doc_id", *quality_rules.BASE, "base_failed", "kept",
@@ -22,6 +27,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "held_out", "score", "predicted")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN, with_ids=False)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -29,11 +39,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op1_decontamination,
         op2_quality_rules,
         op4_quality_classifier,
+        op6_byte_bpe,
         op9_simhash_near_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontamination": decontamination.ORACLE_SQL}
