@@ -132,10 +132,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'),
-         '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 b AS (
   SELECT DISTINCT item_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'),
-         '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 dg AS (SELECT doc_id, i, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
 bg AS (SELECT item_id, i, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM b)),
 c AS (SELECT DISTINCT doc_id, item_id, dg.i - bg.i AS diagonal FROM dg JOIN bg USING (g)),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup
+from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, url_filter
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "held_out", "score", "predicted")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.evaluate(url_filter.captures_of(pages), url_filter.lists_of(pages), "page_id")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                             public_tokenizers.PATTERN, with_ids=False)
@@ -42,10 +47,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_decontamination,
         op2_quality_rules,
         op4_quality_classifier,
+        op5_url_filter,
         op6_byte_bpe,
         op9_simhash_near_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.ORACLE_SQL}
+    return {"op1_decontamination": decontamination.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
