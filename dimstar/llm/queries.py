@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, url_filter
+from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter
 from .common import table
 
 
@@ -37,6 +37,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                             public_tokenizers.PATTERN, with_ids=False)
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    output = token_output.write(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_output.read_back(spark, docs, output)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,6 +59,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_quality_classifier,
         op5_url_filter,
         op6_byte_bpe,
+        op7_token_output,
+        op8_token_counts,
         op9_simhash_near_dedup,
     )}
 
