@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter
+from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter, warc
 from .common import table
 
 
@@ -52,6 +52,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontamination,
@@ -62,8 +67,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_token_output,
         op8_token_counts,
         op9_simhash_near_dedup,
+        op10_warc,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
+    return {"op10_warc": warc.ORACLE_SQL, "op1_decontamination": decontamination.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
