@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter, warc
+from . import byte_bpe, decontamination, license_scan, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("anomaly", 6).alias("anomaly"), "threshold")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("row.doc_id", "held_out", "score", "predicted")
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontamination,
         op2_quality_rules,
+        op3_license_scan,
         op4_quality_classifier,
         op5_url_filter,
         op6_byte_bpe,
