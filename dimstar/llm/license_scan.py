@@ -16,7 +16,8 @@ Calibration: a fold of the training rows is held out. The probability that a
 family needs is the smallest at which no held-out negative row would get it,
 but ``FLOOR`` at least; a licence-like paragraph below it is ``unknown``.
 Confirmation: a family's paragraph must contain ``CONFIRM`` of the word pairs
-of one of its templates; else it is ``unknown`` as well.
+of one of its templates; with fewer it is ``unknown`` as well, and with less
+than ``DOUBT`` of them it is taken for no licence after all.
 
 Defined cases: null and empty texts have no paragraphs; repeated rows give
 repeated results; a table without any text trains on the templates alone; only
@@ -88,6 +89,7 @@ BACKGROUND = 20_000
 LASSO = 2e-4
 FLOOR = 0.5
 CONFIRM = 0.6
+DOUBT = 0.15
 _NOISE = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -189,7 +191,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backgr
     named = scored.withColumn("best", best).withColumn("family", F.array_position(F.slice("p", 1, NONE), F.col("best")) - 1)
     like = reduce(lambda c, i: c.when(F.col("family") == i, _likeness(spark, F.col("grams"), i)),
                   range(1, len(FAMILIES)), F.when(F.col("family") == 0, _likeness(spark, F.col("grams"), 0)))
-    judged = named.withColumn("likeness", like)
+    judged = named.withColumn("likeness", like).filter(F.col("likeness") >= DOUBT)
     names = F.array(*map(F.lit, FAMILIES))
     return judged.select(
         "doc_id", "paragraph",

@@ -161,9 +161,11 @@ def chain_entries(archives: DataFrame, range_size: int = RANGE) -> DataFrame:
                 leaves: dict[int, int] = {}
                 for at, after in reversed(found):  # successors come later: their exits are known
                     leaves[at] = after if after >= row["stop"] else leaves.get(after, after)
-                yield pa.RecordBatch.from_pydict(
-                    {"folder": [row["folder"]] * len(leaves), "file": [row["file"]] * len(leaves),
-                     "at": pa.array(list(leaves), pa.int64()), "next": pa.array(list(leaves.values()), pa.int64())})
+                text, number = pa.string(), pa.int64()  # a range inside a payload may have no candidate at all
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["folder"]] * len(leaves), text), pa.array([row["file"]] * len(leaves), text),
+                     pa.array(list(leaves), number), pa.array(list(leaves.values()), number)],
+                    ["folder", "file", "at", "next"])
 
     key = ["folder", "file"]
     links = materialise(map_arrow(_ranges(archives, range_size), run,
