@@ -97,3 +97,26 @@ FACT_COLUMNS = (
     "service_duration_minutes", "is_completed", "is_cancelled", "status", "hash_record",
     "request_datetime", "completed_datetime", "notes",
 )
+
+_TYPES = {
+    T.LongType(): "customer_key customer_id supplier_key supplier_id operator_key operator_id request_id",
+    T.IntegerType(): "has_marketing_consent is_current is_active date_key service_duration_minutes is_completed is_cancelled",
+    T.DoubleType(): "price",
+    T.DateType(): "birth_date hire_date",
+    T.TimestampNTZType(): "registration_datetime valid_from valid_to request_datetime completed_datetime",
+}
+_TYPE_OF = {c: t for t, names in _TYPES.items() for c in names.split()}
+
+
+def _contract(columns: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(c, _TYPE_OF.get(c, T.StringType())) for c in columns])
+
+
+# Names and types of the five stored tables (S11); other columns are text.
+WAREHOUSE_SCHEMAS = {
+    "time_dim": TIME_DIM_SCHEMA,
+    "customer_dim": _contract(CUSTOMER_DIM_COLUMNS),
+    "supplier_dim": _contract(SUPPLIER_DIM_COLUMNS),
+    "operator_dim": _contract(OPERATOR_DIM_COLUMNS),
+    "request_fact": _contract(FACT_COLUMNS),
+}

@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import CALENDAR_END, CALENDAR_START, REJECT_RATIO_LIMIT
-from ..model import Star
+from ..model import WAREHOUSE_SCHEMAS, Star
 from ..operators import validation as V
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
-from ..operators.checks import ForeignKeyViolation, enforce_fks
+from ..operators.checks import ForeignKeyViolation, enforce_fks, schema_matches
 from ..operators.fact import build_request_fact
 from ..operators.states import filter_unreachable
+from ..session import cut_lineage
+from ..sources import csv as CSV
 from ..sources import driver
 from ..sources.driver import RuleConfig
 
@@ -41,10 +43,14 @@ class Loaded:
 
 def build(customers: DataFrame, suppliers: DataFrame, operators: DataFrame, requests: DataFrame,
           cfg: RuleConfig | None = None, calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
-          gate_limit: float | None = REJECT_RATIO_LIMIT) -> Loaded:
-    """Validate, gate (when ``gate_limit`` is not None) and build the star."""
+          gate_limit: float | None = REJECT_RATIO_LIMIT, malformed: DataFrame | None = None) -> Loaded:
+    """Validate, gate (when ``gate_limit`` is not None) and build the star.
+    ``malformed``: quarantine rows of lines that could not be read; they count
+    as read and rejected."""
     spark = customers.sparkSession
     val = V.validate_all(customers, suppliers, operators, requests, cfg)
+    if malformed is not None:
+        val = val.with_rejected(malformed)
     # M5: statuses the state machine cannot reach are rejected too, and counted.
     val = val.map_requests(filter_unreachable)
     summary = V.validation_summary(val.totals, val.quarantine,
@@ -74,6 +80,33 @@ def load_driver(spark: SparkSession, sf_dir: str, gate_limit: float | None = Non
                  driver.driver_rules(), driver.DRIVER_CALENDAR, gate_limit)
 
 
+def load_csv(spark: SparkSession, folder: str, warehouse: str, cfg: RuleConfig | None = None,
+             calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
+             gate_limit: float | None = REJECT_RATIO_LIMIT, multi_line: bool = False) -> DataFrame:
+    """The whole load: ``customers.csv``, ``suppliers.csv``, ``operators.csv``
+    and ``requests.csv`` of ``folder`` into ``warehouse``. Malformed lines go
+    to the quarantine and count for the gate. Returns one row per entity:
+    ``table, n_read, n_rejected, n_inserted``."""
+    good, malformed = {}, None
+    for e in CSV.SCHEMAS:
+        lines = CSV.read_entity(spark, f"{folder.rstrip('/')}/{e}.csv", e, keep_corrupt=True, multi_line=multi_line)
+        good[e], bad = CSV.split_corrupt(lines, e)
+        malformed = bad if malformed is None else malformed.unionByName(bad)
+    loaded = build(good["customers"], good["suppliers"], good["operators"], good["requests"], cfg, calendar,
+                   gate_limit, malformed)
+    report = cut_lineage(loaded.summary)  # before the write releases the rule results
+    written = write_warehouse(loaded, warehouse)
+    inserted = None
+    for table, stored in (("customers", "customer_dim"), ("suppliers", "supplier_dim"), ("operators", "operator_dim"),
+                          ("requests", "request_fact")):
+        n = spark.read.parquet(written[stored]).select(F.lit(table).alias("table"))
+        inserted = n if inserted is None else inserted.unionByName(n)
+    counts = inserted.groupBy("table").agg(F.count(F.lit(1)).alias("n_inserted"))
+    return report.join(counts, "table", "left").select(
+        "table", F.col("n_total").alias("n_read"), F.col("n_ko").alias("n_rejected"),
+        F.coalesce("n_inserted", F.lit(0)).cast("bigint").alias("n_inserted"))
+
+
 class UnresolvedVersion(RuntimeError):
     pass
 
@@ -95,15 +128,17 @@ def check_fact_keys(loaded: Loaded, fact: DataFrame | None = None) -> None:
                        ("date_key", loaded.time_dim, "date_key")])
 
 
-POINTER = "_current"
+DONE = "_complete"
 
 
 def write_warehouse(loaded: Loaded, path: str, check: bool = True,
                     max_records_per_file: int = 5_000_000) -> dict[str, str]:
-    """A full rebuild into a new version folder under ``path``, then
-    the pointer ``path/_current`` is switched to it. Readers that already hold
-    the previous version keep reading it; a rebuild from the same input gives
-    the same tables.
+    """A full rebuild into a new version folder under ``path``; its
+    last write is the marker that makes it complete. Readers take the newest
+    complete version: there is no moment without one, and a rebuild that is
+    lost half-way is never seen. Readers that already hold the previous
+    version keep reading it until ``prune_versions``; a rebuild from the same
+    input gives the same tables.
 
     Dimensions are written first, then the fact, partitioned by month and
     sorted by ``date_key`` inside the files (Parquet min/max statistics prune
@@ -117,9 +152,10 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     spark = loaded.fact.sparkSession
     # the fact feeds the key checks and the write: keep it for their duration
     kept = loaded.fact.persist(StorageLevel.MEMORY_AND_DISK)
+    check_contract(loaded)
     if check:
         check_fact_keys(loaded, kept)
-    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
     base = f"{path.rstrip('/')}/v={version}"
     out = {}
     for name, df in (("time_dim", loaded.time_dim), ("customer_dim", loaded.customer_dim),
@@ -135,16 +171,47 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     out["quarantine"] = f"{base}/quarantine"
     kept.unpersist(blocking=False)
     loaded.validated.release()
-    # pointer: the version folder, and whether its keys were verified
-    spark.createDataFrame([(base, "true" if check else "false")], "version string, fk_checked string") \
-         .coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{POINTER}")
+    # the marker: whether the keys were verified; Spark adds _SUCCESS last
+    spark.createDataFrame([("true" if check else "false",)], "fk_checked string") \
+         .coalesce(1).write.mode("errorifexists").json(f"{base}/{DONE}")
     return out
 
 
+def complete_versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions, oldest first."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v=*/{DONE}/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(f.getPath().getParent().getParent().toString() for f in (found or []))
+
+
 def current_version(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """The folder the pointer names and whether its keys were verified (one row)."""
-    row = spark.read.schema("version string, fk_checked string").json(f"{path.rstrip('/')}/{POINTER}").first()
-    return row["version"], row["fk_checked"] == "true"
+    """The newest complete version's folder and whether its keys were verified."""
+    versions = complete_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no complete version in {path}")
+    row = spark.read.schema("fk_checked string").json(f"{versions[-1]}/{DONE}").first()
+    return versions[-1], row["fk_checked"] == "true"
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all complete versions but the ``keep`` newest; returns what is left."""
+    versions = complete_versions(spark, path)
+    for v in versions[:-keep] if keep else versions:
+        old = spark._jvm.org.apache.hadoop.fs.Path(v)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return complete_versions(spark, path)
+
+
+class ContractViolation(RuntimeError):
+    pass
+
+
+def check_contract(loaded: Loaded) -> None:
+    """Names and types of the five tables, before anything is written."""
+    for name, expected in WAREHOUSE_SCHEMAS.items():
+        df = loaded.fact if name == "request_fact" else getattr(loaded, name)
+        if not schema_matches(df, expected):
+            raise ContractViolation(f"{name}: {df.schema.simpleString()} is not {expected.simpleString()}")
 
 
 def read_warehouse(spark: SparkSession, path: str, calendar: tuple[dt.date, dt.date] | None = None) -> Star:

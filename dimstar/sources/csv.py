@@ -1,10 +1,17 @@
 """CSV entities in and out.
 
 Source files are UTF-8 (a BOM is stripped by Spark), comma separated, with a
-header. Only the empty field is NULL; text such as "NA" stays a value.
-Schemas are explicit, never inferred; zip codes and VAT numbers are text so
-leading zeros survive. Malformed values are listed in ``_corrupt_record`` and
-their lines can be quarantined instead of failing the whole file.
+header. Columns are found by their header name, in any order; columns that the
+entity does not have are ignored, a missing one fails the read. Only the empty
+field is NULL; text such as "NA" stays a value. Types are explicit, never
+inferred; zip codes and VAT numbers are text so leading zeros survive.
+
+Nothing is lost without a trace: a line with more or fewer fields than the
+header, or with a value that does not have its type, is malformed. By default
+reading such a line fails; a load quarantines it instead.
+
+A file is split among tasks by lines. ``multi_line`` allows quoted fields with
+line ends; each file is then read by one task, whatever its size.
 """
 
 from __future__ import annotations
@@ -74,37 +81,51 @@ SCHEMAS = {"customers": CUSTOMERS_SCHEMA, "suppliers": SUPPLIERS_SCHEMA,
 
 _READ_OPTIONS = {
     "header": "true",
-    "multiLine": "true",       # quoted fields may hold newlines
     "escape": '"',             # doubled quotes inside quoted fields
     "nullValue": "",           # only the empty field is NULL ("NA" is a province)
     "nanValue": "NaN",
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
+    "enforceSchema": "false",  # a file whose header differs from the first one's fails
+    "columnPruning": "false",  # fields are counted whatever columns a query selects
     "ignoreLeadingWhiteSpace": "false",   # text is kept byte for byte
     "ignoreTrailingWhiteSpace": "false",
 }
+_RAW = "_raw_line"
+RAGGED = "fields"  # named in ``_corrupt_record`` when a line has too many or too few
 
 
-def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False) -> DataFrame:
-    """Read one entity CSV (file or folder) with its fixed schema.
+def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False,
+                multi_line: bool = False) -> DataFrame:
+    """Read one entity CSV (file or folder; all files have the first
+    one's header) with its fixed types.
 
     Fields are read as text and cast with ``try_cast``; a field whose text is
     present but does not cast is malformed. With ``keep_corrupt`` the names of
-    such fields are listed in ``_corrupt_record`` (NULL when the line is
-    clean), so a bad value quarantines its line instead of failing the file.
-    The check does not depend on which columns a later query selects.
+    such fields (and ``fields`` for a ragged line) are listed in
+    ``_corrupt_record``, NULL when the line is clean; without it a malformed
+    line fails the query that reads it.
     """
     schema = SCHEMAS[entity]
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.options(**_READ_OPTIONS).schema(text).csv(path)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.StringType)
-             else F.col(f.name) for f in schema.fields]
-    if not keep_corrupt:
-        return raw.select(*typed)
-    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
-           for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    reader = spark.read.options(**_READ_OPTIONS, multiLine=str(multi_line).lower())
+    header = reader.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RAW]])
+    raw = reader.option("columnNameOfCorruptRecord", _RAW).schema(text).csv(path)
+    bad = [F.when(F.col(_RAW).isNotNull(), F.lit(RAGGED))] + [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     names = F.concat_ws(",", *bad)
-    return raw.select(*typed, F.when(names != "", names).alias(CORRUPT))
+    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.StringType)
+                         else F.col(f.name) for f in schema.fields], F.when(names != "", names).alias(CORRUPT))
+    if keep_corrupt:
+        return typed
+    told = F.concat(F.lit(f"malformed line in {entity}: id "), F.coalesce(F.col("id").cast("string"), F.lit("NULL")),
+                    F.lit(", "), F.col(CORRUPT))
+    return typed.where(F.when(F.col(CORRUPT).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True)) \
+                .drop(CORRUPT)
 
 
 def split_corrupt(df: DataFrame, table: str, key: str = "id") -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ def test_csv_dialect(spark):
             '3,Bad,medical_center,1,Roma,RM,00100,,,notanint\n')
     with open(path, "w", encoding="utf-8") as f:
         f.write(text)
-    df = CSV.read_entity(spark, path, "suppliers", keep_corrupt=True)
+    df = CSV.read_entity(spark, path, "suppliers", keep_corrupt=True, multi_line=True)
     good, bad = CSV.split_corrupt(df, "suppliers")
     rows = {r.id: r for r in good.collect()}
     assert rows[1].name == 'Scuola "Stella"' and rows[1].province == "NA" and rows[1].zip_code == "00185"
@@ -78,7 +78,7 @@ def test_csv_round_trip_random_text(spark):
     df = spark.createDataFrame(rows, CSV.REQUESTS_SCHEMA)
     d = tempfile.mkdtemp(prefix="dimstar-csv-")
     CSV.write_entity(df, d)
-    back = {r.id: r for r in CSV.read_entity(spark, d, "requests").collect()}
+    back = {r.id: r for r in CSV.read_entity(spark, d, "requests", multi_line=True).collect()}
     for r in rows:
         b = back[r[0]]
         assert (b.notes, b.price, b.request_datetime) == (r[9], r[7], r[4]), r[0]
