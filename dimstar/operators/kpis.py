@@ -97,11 +97,15 @@ def _done(df: DataFrame) -> DataFrame:
     return df.where((F.col("is_cancelled") == 0) & (F.col("is_completed") == 1))
 
 
+# Prices are doubles; as decimals with six places they add up exactly, in any order.
+MONEY = "decimal(18,6)"
+
+
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a 2-decimal amount: integer cents summed as bigint (no float
-    order effects across partitions), returned as double."""
+    """Sum of an amount as a wide decimal: no float order effects across
+    partitions, and no rounding of the amounts to cents. Returned as double."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(F.round(col * 100).cast("bigint")) / F.lit(100.0)
+    return F.sum(col.cast(MONEY)).cast("double")
 
 
 def envelope(agg: DataFrame, p: KpiParams, reason: str | None) -> DataFrame:
@@ -179,7 +183,7 @@ def kpi_summary(star: Star, p: KpiParams) -> DataFrame:
     done = (F.col("is_cancelled") == 0) & (F.col("is_completed") == 1)
     per_persona = filtered_star(star, p, ("fiscal_code_hash",), ()).groupBy("fiscal_code_hash").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(done, F.round(F.col("price") * 100).cast("bigint"))).alias("cents"),
+        F.sum(F.when(done, F.col("price").cast(MONEY))).alias("amount"),
         F.sum(F.when(done, F.col("service_duration_minutes")).cast("bigint")).alias("dur_sum"),
         F.count(F.when(done, F.col("service_duration_minutes"))).alias("dur_n"),
         F.sum("is_cancelled").cast("bigint").alias("n_cancelled"),
@@ -187,7 +191,7 @@ def kpi_summary(star: Star, p: KpiParams) -> DataFrame:
     n_all = F.sum("n")
     return per_persona.agg(
         F.coalesce(n_all, F.lit(0)).cast("bigint").alias("n_requests"),
-        F.coalesce(F.sum("cents") / F.lit(100.0), F.lit(0.0)).alias("revenue"),
+        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("revenue"),
         (F.sum("dur_sum").cast("double") / F.nullif(F.sum("dur_n"), F.lit(0))).alias("mean_duration"),
         F.count(F.lit(1)).alias("active_customers"),
         (F.sum("n_cancelled").cast("double") / F.nullif(n_all, F.lit(0))).alias("cancel_rate"),

@@ -46,29 +46,17 @@ def reachable_states(transitions: Transitions = TRANSITIONS, initial: str = INIT
 
 
 def validate_trajectory(target: str | None, cancel_from: str | None = None,
-                        transitions: Transitions = TRANSITIONS) -> bool:
-    """M4 with the source system's minimal-path reading: create, then either the
-    full path (confirm, complete, invoice) up to ``target`` or a cancel from
-    booked (default) or confirmed."""
-    table = {(a, e): b for a, e, b in transitions}
-    state = table.get((INITIAL_STATE, "create"))
-    if state is None or target is None:
+                        transitions: Transitions = TRANSITIONS, initial: str = INITIAL_STATE) -> bool:
+    """M4: a path of the table leads from ``initial`` to ``target``. For a
+    ``cancelled`` target, ``cancel_from`` names the state that the path must
+    leave by its last step (``booked`` if not given)."""
+    if target is None or target == initial:
         return False
-    if target == state:
-        return True
     if target == "cancelled":
-        if (cancel_from or "booked") == "confirmed":
-            state = table.get((state, "confirm"))
-            if state is None:
-                return False
-        return table.get((state, "cancel")) == "cancelled"
-    for ev in ("confirm", "complete", "invoice"):
-        state = table.get((state, ev))
-        if state is None:
-            return False
-        if state == target:
-            return True
-    return False
+        before = cancel_from or "booked"
+        return before in reachable_states(transitions, initial) and any(
+            a == before and b == target for a, _, b in transitions)
+    return target in reachable_states(transitions, initial)
 
 
 def reachable_flag(status: Column | str, transitions: Transitions = TRANSITIONS) -> Column:
@@ -121,7 +109,10 @@ def run_machine(events: DataFrame, entity: str, order_cols: Sequence[str], event
         # only events some state of this depth accepts can be the next step
         accepted_here = sorted({e for a, e, _ in transitions if a in level})
         level = {b for a, _, b in transitions if a in level}
-        cand = (ev.where(F.col("_ev").isin(accepted_here)).join(frontier, "_e")
+        # null-safe: the frontier is grouped by the entity, and an equal key would
+        # keep that partitioning, which leaves AQE no exchange to split a hot entity in
+        side = frontier.withColumnRenamed("_e", "_fe")
+        cand = (ev.where(F.col("_ev").isin(accepted_here)).join(side, F.col("_e").eqNullSafe(F.col("_fe"))).drop("_fe")
                   .where(F.col("_p").isNull() | (F.col("_pos") > F.col("_p")))
                   .join(tt, ["_st", "_ev"]))
         nxt = cand.groupBy("_e").agg(F.min(F.struct("_pos", "next_state")).alias("_m"))

@@ -70,7 +70,14 @@ base AS (
 
 
 DONE = "is_cancelled = 0 AND is_completed = 1"
-CENTS = "CAST(ROUND(price * 100) AS BIGINT)"
+# exact decimal sums; through text, so that the double is the nearest one
+AMOUNT = "CAST(price AS DECIMAL(18, 6))"
+
+
+def exact(total: str) -> str:
+    return f"CAST(CAST({total} AS VARCHAR) AS DOUBLE)"
+
+
 
 
 def _env(value_sql: str, reason: str | None, start, end, province, category) -> str:
@@ -86,7 +93,7 @@ def kpi_sql(name: str, start, end, province=None, category=None) -> str:
     if name == "request_count":
         return e("SELECT COUNT(*) AS value FROM base")
     if name == "revenue":
-        return e(f"SELECT COALESCE(SUM({CENTS}) / CAST(100 AS DOUBLE), CAST(0 AS DOUBLE)) AS value FROM base WHERE {DONE}")
+        return e(f"SELECT COALESCE({exact(f'SUM({AMOUNT})')}, CAST(0 AS DOUBLE)) AS value FROM base WHERE {DONE}")
     if name == "mean_duration":
         return e(f"SELECT CAST(AVG(service_duration_minutes) AS DOUBLE) AS value FROM base WHERE {DONE}",
                  "no_completed_requests")
@@ -101,7 +108,7 @@ FROM (SELECT fiscal_code_hash, COUNT(*) AS n FROM base GROUP BY fiscal_code_hash
                  "no_requests_in_denominator")
     if name == "revenue_by_province":
         return b + f"""
-SELECT province, SUM({CENTS}) / CAST(100 AS DOUBLE) AS revenue_in_province,
+SELECT province, {exact(f'SUM({AMOUNT})')} AS revenue_in_province,
        COUNT(*) AS n_requests_in_province
 FROM base WHERE {DONE}
 GROUP BY province ORDER BY revenue_in_province DESC, province NULLS FIRST"""
@@ -109,14 +116,14 @@ GROUP BY province ORDER BY revenue_in_province DESC, province NULLS FIRST"""
         return b + f"""
 , pp AS (
   SELECT fiscal_code_hash, COUNT(*) AS n,
-         SUM(CASE WHEN {DONE} THEN {CENTS} END) AS cents,
+         SUM(CASE WHEN {DONE} THEN {AMOUNT} END) AS amount,
          SUM(CASE WHEN {DONE} THEN service_duration_minutes END) AS dur_sum,
          COUNT(CASE WHEN {DONE} THEN service_duration_minutes END) AS dur_n,
          SUM(is_cancelled) AS n_cancelled
   FROM base GROUP BY fiscal_code_hash
 )
 SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_requests,
-       COALESCE(SUM(cents) / CAST(100 AS DOUBLE), CAST(0 AS DOUBLE)) AS revenue,
+       COALESCE({exact('SUM(amount)')}, CAST(0 AS DOUBLE)) AS revenue,
        CAST(SUM(dur_sum) AS DOUBLE) / NULLIF(SUM(dur_n), 0) AS mean_duration,
        COUNT(*) AS active_customers,
        CAST(SUM(n_cancelled) AS DOUBLE) / NULLIF(SUM(n), 0) AS cancel_rate,
@@ -135,7 +142,7 @@ FROM base GROUP BY period_label ORDER BY period_label"""
     if name == "top_suppliers":
         return b + f"""
 SELECT supplier_name, category, revenue_eur, n_requests FROM (
-  SELECT supplier_key, supplier_name, category, SUM({CENTS}) / CAST(100 AS DOUBLE) AS revenue_eur,
+  SELECT supplier_key, supplier_name, category, {exact(f'SUM({AMOUNT})')} AS revenue_eur,
          COUNT(*) AS n_requests
   FROM base WHERE {DONE}
   GROUP BY supplier_key, supplier_name, category

@@ -8,9 +8,9 @@ from ..functions.constants import DAY_NAMES_IT, EASTER_DATES_IT, FIXED_HOLIDAYS_
 from ..model import KpiParams
 from ..operators import checks as C
 from ..operators import kpis
-from ..operators.dims import build_time_dim_covering
+from ..operators.dims import build_customer_dim_scd2, build_time_dim_covering
 from ..sources import driver
-from .load import load_driver
+from .load import load_driver, validated_driver
 from .oracle_etl import with_etl
 from .oracle_star import base_cte
 from .registry import FULL, PROVINCE, SHORT
@@ -43,7 +43,7 @@ def check_fk_orphans(spark, sf_dir):
 
 
 def check_scd2(spark, sf_dir):
-    return C.scd2_check(load_driver(spark, sf_dir).customer_dim)
+    return C.scd2_check(build_customer_dim_scd2(validated_driver(spark, sf_dir).customers_ok))
 
 
 def check_hash_unique(spark, sf_dir):
@@ -284,14 +284,14 @@ FULL JOIN (
   WHERE td.full_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
 ), pp AS (
   SELECT fiscal_code_hash, COUNT(*) AS n,
-         SUM(CASE WHEN is_cancelled = 0 AND is_completed = 1 THEN CAST(ROUND(price * 100) AS BIGINT) END) AS cents,
+         SUM(CASE WHEN is_cancelled = 0 AND is_completed = 1 THEN CAST(price AS DECIMAL(18, 6)) END) AS amount,
          SUM(CASE WHEN is_cancelled = 0 AND is_completed = 1 THEN service_duration_minutes END) AS dur_sum,
          COUNT(CASE WHEN is_cancelled = 0 AND is_completed = 1 THEN service_duration_minutes END) AS dur_n,
          SUM(is_cancelled) AS n_cancelled
   FROM wb GROUP BY fiscal_code_hash
 )
 SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_requests,
-       COALESCE(SUM(cents) / CAST(100 AS DOUBLE), CAST(0 AS DOUBLE)) AS revenue,
+       COALESCE(CAST(CAST(SUM(amount) AS VARCHAR) AS DOUBLE), CAST(0 AS DOUBLE)) AS revenue,
        CAST(SUM(dur_sum) AS DOUBLE) / NULLIF(SUM(dur_n), 0) AS mean_duration,
        COUNT(*) AS active_customers,
        CAST(SUM(n_cancelled) AS DOUBLE) / NULLIF(SUM(n), 0) AS cancel_rate,
@@ -305,7 +305,7 @@ FROM pp"""),
   JOIN cdim cd ON f.customer_key = cd.customer_key JOIN sdim sd ON f.supplier_key = sd.supplier_key
   WHERE td.full_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
 )
-SELECT province, SUM(CAST(ROUND(price * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS revenue_in_province,
+SELECT province, CAST(CAST(SUM(CAST(price AS DECIMAL(18, 6))) AS VARCHAR) AS DOUBLE) AS revenue_in_province,
        COUNT(*) AS n_requests_in_province
 FROM wb WHERE is_cancelled = 0 AND is_completed = 1 GROUP BY province"""),
     "check_report": _etl_q("""

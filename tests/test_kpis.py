@@ -79,8 +79,8 @@ def test_empty_string_is_a_real_filter(star):
 
 
 def test_null_parameters_fold_away(spark, star):
-    from dimstar.plans.sql_api import CANCEL_RATE_SQL, run_sql
-    df = run_sql(spark, star, CANCEL_RATE_SQL, FULL)
+    from dimstar.plans.sql_api import run_sql
+    df = run_sql(spark, star, "cancel_rate", FULL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "province" not in plan and "category" not in plan  # both filters folded, columns pruned
     a = df.collect()[0].value
@@ -152,3 +152,8 @@ def test_kpis_random_star_against_python(spark):
             c, n = expp.get(pv, (0, 0))
             expp[pv] = (c + round(f[4] * 100), n + 1)
         assert byp == {k: (c / 100, n) for k, (c, n) in expp.items()}
+
+
+def test_revenue_keeps_sub_cent_prices(spark):
+    df = spark.createDataFrame([(0.004,)] * 1000 + [(0.1,)] * 3, "price double")
+    assert df.agg(K.money_sum("price").alias("v")).first().v == 4.3
