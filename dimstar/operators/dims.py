@@ -102,8 +102,9 @@ def build_customer_dim_scd2(customers_ok: DataFrame, with_keys: bool = True) ->
     Ordering by the persona's first id keeps each persona contiguous, so one
     range partitioning (and one checkpoint) serves both the SCD2 ``lead``
     inside a persona and the global key numbering."""
-    first_id = customers_ok.groupBy("fiscal_code_hash").agg(F.min("id").alias("_first_id"))
-    x = customers_ok.join(first_id, "fiscal_code_hash")
+    first_id = customers_ok.groupBy(F.col("fiscal_code_hash").alias("_p")).agg(F.min("id").alias("_first_id"))
+    # null-safe, so that both sides get an exchange of their own and AQE can split a hot persona
+    x = customers_ok.join(first_id, F.col("fiscal_code_hash").eqNullSafe(F.col("_p"))).drop("_p")
     order = ["registration_datetime", "id"]
     seg = segment(x, ["_first_id"], order, with_position=with_keys)
     v = lead_in_group(seg, ["_first_id"], order, "registration_datetime", "valid_to", "_has_next",

@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_key
 from ..functions.hashing import hash_record, money_text, ts_text
 from ..model import FACT_COLUMNS
-from .segmented import ffill_in_group
+from .segmented import ffill_in_group, running_sum_in_group
 
 
 def asof_join(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts: str,
@@ -19,7 +19,10 @@ def asof_join(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts
               valid_to: str = "valid_to", version_order: Sequence[str] = ()) -> DataFrame:
     """for each probe, the version of its group with
     ``valid_from <= ts AND (valid_to IS NULL OR ts < valid_to)``; columns
-    ``take`` of that version are added (NULL when no version matches).
+    ``take`` of that version are added (NULL when no version matches). The
+    intervals of a group must not overlap, as those made by ``lead`` never do;
+    ``asof_match_classes`` counts the matches of any intervals. Versions
+    without a ``valid_from`` match nothing.
 
     Probes and versions are merged in one frame ordered by (group, time);
     each probe takes the last version at or before it (forward fill). No
@@ -39,7 +42,7 @@ def asof_join(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts
         F.col(probe_group).alias("_g"), F.col(probe_ts).alias("_t"), F.lit(1).alias("_tag"),
         F.lit(None).cast(vord_type).alias("_o"), F.monotonically_increasing_id().alias("_pid"),
         pstruct.alias("_p"), F.lit(None).cast(vtype).alias("_v"))
-    v = versions.select(
+    v = versions.where(F.col(valid_from).isNotNull()).select(
         F.col(version_group).alias("_g"), F.col(valid_from).alias("_t"), F.lit(0).alias("_tag"),
         vord.cast(vord_type).alias("_o"), F.lit(None).cast("bigint").alias("_pid"),
         F.lit(None).cast(ptype).alias("_p"), vstruct.alias("_v"))
@@ -51,15 +54,22 @@ def asof_join(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts
     return out.select("_p.*", *[F.when(hit, F.col(f"_vf.{c}")).alias(c) for c in take])
 
 
-def resolve_customer_key(requests: DataFrame, customers_ok: DataFrame, customer_dim: DataFrame) -> DataFrame:
-    """F1 + F2: request -> persona of its customer row -> version valid at the
-    request time (the historic version, not the customer row itself)."""
+def customer_keys(requests: DataFrame, customers_ok: DataFrame, customer_dim: DataFrame) -> DataFrame:
+    """F1 + F2 as ``id, customer_key``: request -> persona of its customer row
+    -> version valid at the request time (the historic version, not the
+    customer row itself). Only ids, personas and times are moved."""
     persona = customers_ok.select(F.col("id").alias("_cid"), F.col("fiscal_code_hash").alias("_persona"))
-    withp = requests.join(persona, requests["customer_id"] == persona["_cid"], "left").drop("_cid")
+    probes = (requests.select("id", "customer_id", "request_datetime")
+              .join(persona, F.col("customer_id") == F.col("_cid"), "left").select("id", "_persona", "request_datetime"))
     dim = customer_dim.select("fiscal_code_hash", "valid_from", "valid_to", "customer_key")
-    res = asof_join(withp, dim, "_persona", "request_datetime", "fiscal_code_hash",
-                    take=["customer_key"], version_order=["customer_key"])
-    return res.drop("_persona")
+    return asof_join(probes, dim, "_persona", "request_datetime", "fiscal_code_hash",
+                     take=["customer_key"], version_order=["customer_key"]).select("id", "customer_key")
+
+
+def resolve_customer_key(requests: DataFrame, customers_ok: DataFrame, customer_dim: DataFrame) -> DataFrame:
+    """The requests (whose ids are unique: V15) with their ``customer_key``."""
+    keys = customer_keys(requests, customers_ok, customer_dim).withColumnRenamed("id", "_rid")
+    return requests.join(keys, F.col("id") == F.col("_rid"), "left").drop("_rid")
 
 
 def asof_cardinality(resolved: DataFrame, key_col: str = "customer_key") -> DataFrame:
@@ -72,6 +82,36 @@ def asof_cardinality(resolved: DataFrame, key_col: str = "customer_key") -> Data
     )
 
 
+def asof_matches(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts: str, version_group: str,
+                 valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """``probes`` with ``n_matches``, the number of versions of their group
+    that hold their time; the intervals may overlap in any way.
+
+    An interval adds one at its start and takes one at its end, so a probe's
+    count is a running sum; no pairs are formed, and a hot group is cut into
+    segments."""
+    real = F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))
+    v = versions.where(F.col(version_group).isNotNull() & F.col(valid_from).isNotNull() & real)
+    p = probes.select(F.struct(*probes.columns).alias("_p"), F.col(probe_group).alias("_g"), F.col(probe_ts).alias("_t"),
+                      F.lit(1).alias("_after"), F.lit(0).cast("bigint").alias("_d"))
+    nobody = F.lit(None).cast(p.schema["_p"].dataType).alias("_p")
+    edge = lambda c, d: v.where(F.col(c).isNotNull()).select(
+        nobody, F.col(version_group).alias("_g"), F.col(c).alias("_t"), F.lit(0).alias("_after"),
+        F.lit(d).cast("bigint").alias("_d"))
+    merged = (p.where(F.col("_g").isNotNull() & F.col("_t").isNotNull())
+              .unionByName(edge(valid_from, 1)).unionByName(edge(valid_to, -1)))
+    counted = running_sum_in_group(merged, ["_g"], ["_t", "_after"], "_d", "n_matches").where(F.col("_after") == 1)
+    without = p.where(F.col("_g").isNull() | F.col("_t").isNull())
+    return (counted.select("_p.*", "n_matches")
+            .unionByName(without.select("_p.*", F.lit(0).cast("bigint").alias("n_matches"))))
+
+
+def asof_match_classes(matched: DataFrame) -> DataFrame:
+    """probes with no, one, or several versions; a load needs exactly one."""
+    kind = F.when(F.col("n_matches") == 0, "none").when(F.col("n_matches") == 1, "one").otherwise("several")
+    return matched.groupBy(kind.alias("matches")).agg(F.count(F.lit(1)).alias("n_probes"))
+
+
 def build_request_fact(requests_ok: DataFrame, customers_ok: DataFrame, customer_dim: DataFrame,
                        supplier_dim: DataFrame, operator_dim: DataFrame) -> DataFrame:
     """One fact row per valid request, 14 columns in fixed order."""
@@ -114,9 +154,8 @@ def hash_uniqueness(fact: DataFrame, hash_col: str = "hash_record") -> DataFrame
 
 
 def dedup_by_hash(fact: DataFrame, hash_col: str = "hash_record", id_col: str = "request_id") -> DataFrame:
-    """keep the row with the smallest id of each hash. One aggregation
-    with a struct minimum: partial on the map side, so a hash shared by very
-    many copies is reduced before the shuffle; no join back."""
-    others = [c for c in fact.columns if c not in (hash_col, id_col)]
-    best = fact.groupBy(hash_col).agg(F.min(F.struct(id_col, *others)).alias("_r"))
-    return best.select(hash_col, "_r.*").select(*fact.columns)
+    """keep the row with the smallest id of each hash. The rank filter
+    becomes a group limit before the shuffle too, so a hash shared by very
+    many copies leaves one row per task."""
+    first = Window.partitionBy(hash_col).orderBy(F.col(id_col).asc_nulls_last())
+    return fact.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")

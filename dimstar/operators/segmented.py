@@ -114,3 +114,21 @@ def ffill_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     joined = local.join(carry, [*group_cols, SEG], "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("_ff"), F.col("_carry")))
                   .drop("_ff", "_carry", SEG))
+
+
+def running_sum_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                         value_col: str, out_col: str, num_segments: int | None = None) -> DataFrame:
+    """``out_col`` = sum of ``value_col`` over the rows of the group up to this
+    one and those that are level with it in the order, carried across segment
+    borders. Level rows share a segment: they have the same range key."""
+    seg = segment(df, group_cols, order_cols, num_segments)
+    w = (Window.partitionBy(*group_cols, SEG).orderBy(*order_cols)
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    local = seg.withColumn("_rs", F.sum(value_col).over(w))
+    totals = seg.groupBy(*group_cols, SEG).agg(F.sum(value_col).alias("_total"))
+    wseg = (Window.partitionBy(*group_cols).orderBy(SEG)
+            .rowsBetween(Window.unboundedPreceding, -1))
+    carry = totals.withColumn("_carry", F.coalesce(F.sum("_total").over(wseg), F.lit(0))).drop("_total")
+    return (local.join(carry, [*group_cols, SEG], "left")
+                 .withColumn(out_col, F.col("_rs") + F.col("_carry"))
+                 .drop("_rs", "_carry", SEG))

@@ -58,14 +58,13 @@ def scd2_coherence_q(spark, sf_dir):
 def asof_lookup(spark, sf_dir):
     v = validated_driver(spark, sf_dir)
     dim = build_customer_dim_scd2(v.customers_ok)
-    return FT.resolve_customer_key(v.requests_ok, v.customers_ok, dim).select(
-        F.col("id").alias("request_id"), "customer_key")
+    return FT.customer_keys(v.requests_ok, v.customers_ok, dim).withColumnRenamed("id", "request_id")
 
 
 def asof_cardinality(spark, sf_dir):
     v = validated_driver(spark, sf_dir)
     dim = build_customer_dim_scd2(v.customers_ok)
-    return FT.asof_cardinality(FT.resolve_customer_key(v.requests_ok, v.customers_ok, dim))
+    return FT.asof_cardinality(FT.customer_keys(v.requests_ok, v.customers_ok, dim))
 
 
 def request_fact(spark, sf_dir):

@@ -188,8 +188,10 @@ def customers_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Latest order per persona = its active version. Aggregate + join (partial
     # aggregation), not a window, so a persona with many orders stays balanced.
     latest = (o.groupBy("o_custkey")
-               .agg(F.max(F.struct("o_orderdate", "o_orderkey")).getField("o_orderkey").alias("_latest")))
-    j = (o.join(latest, "o_custkey")
+               .agg(F.max(F.struct("o_orderdate", "o_orderkey")).getField("o_orderkey").alias("_latest"))
+               .withColumnRenamed("o_custkey", "_p"))
+    # null-safe, so that AQE has an exchange on both sides to split a hot persona in
+    j = (o.join(latest, F.col("o_custkey").eqNullSafe(F.col("_p"))).drop("_p")
           .join(c, F.col("o_custkey") == c.c_custkey)
           .join(n, c.c_nationkey == n.n_nationkey))
     return j.select(

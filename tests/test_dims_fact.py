@@ -235,3 +235,46 @@ def test_calendar_columns_exhaustive():
         assert r.is_weekend == (1 if d.weekday() >= 5 else 0)
         assert (r.holiday_name_it, r.is_holiday_it) == (hol, 1 if hol else 0)
         assert r.is_summer == (1 if d.month in (7, 8, 9) else 0)
+
+
+def test_asof_matches_of_overlapping_intervals(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(6)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    versions = [(rng.choice("abc") if rng.random() < 0.95 else None, None if rng.random() < 0.05 else day(rng.randrange(40)),
+                 None if rng.random() < 0.1 else day(rng.randrange(50))) for _ in range(200)]
+    probes = [(i, rng.choice(["a", "a", "a", "b", "c", "z", None]), None if i % 37 == 0 else day(rng.randrange(-2, 55)))
+              for i in range(400)]
+    expected = {i: sum(g == vg and g is not None and t is not None and f is not None and f <= t and (u is None or t < u)
+                       for vg, f, u in versions) for i, g, t in probes}
+    got = FT.asof_matches(spark.createDataFrame(probes, "pid int, g string, t timestamp_ntz"),
+                          spark.createDataFrame(versions, "g string, valid_from timestamp_ntz, valid_to timestamp_ntz"),
+                          "g", "t", "g")
+    assert {r.pid: r.n_matches for r in got.collect()} == expected
+    classes = {r.matches: r.n_probes for r in FT.asof_match_classes(got).collect()}
+    assert classes["none"] == sum(n == 0 for n in expected.values()) and sum(classes.values()) == 400
+
+
+def test_hot_persona_joins_can_be_split(spark):
+    """An aggregate joined back on its key keeps an exchange on both sides, so
+    AQE splits the hot key."""
+    from pyspark.sql import functions as F
+
+
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                                "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                                "spark.sql.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1" if "Broadcast" in k else "1k")
+    try:
+        rows = spark.range(0, 20_000).select(
+            F.col("id"), F.sha2(F.concat(F.lit("x"), "id"), 512).alias("pad"), F.when(F.col("id") % 10 < 8, "hot").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("p"))
+        first = rows.groupBy(F.col("p").alias("_p")).agg(F.min("id").alias("m"))
+        df = rows.repartition(8).join(first, F.col("p").eqNullSafe(F.col("_p")))
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
