@@ -180,6 +180,6 @@ rfact AS (
 )"""
 
 
-def with_etl(select_sql: str, dims: bool = False) -> str:
-    ctes = ENTITY_CTES + "," + CHECK_CTES + ("," + DIM_CTES if dims else "")
+def with_etl(select_sql: str, dims: bool = False, entities: str = ENTITY_CTES) -> str:
+    ctes = entities + "," + CHECK_CTES + ("," + DIM_CTES if dims else "")
     return f"WITH {ctes}\n{select_sql}"
