@@ -22,7 +22,7 @@ from dimstar.llm import (  # noqa: E402
     quality_rules,
     simhash_dedup,
 )
-from dimstar.llm.common import materialise, table  # noqa: E402
+from dimstar.llm.common import last_table, materialise, table, temporary_tables  # noqa: E402
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -65,7 +65,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage leaves in the shared folder besides
+    its result is deleted once the result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with temporary_tables(spark) as keep:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+            keep.append(last_table())
     return docs

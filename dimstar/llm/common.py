@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-# Ids are one long per row: 2M of them stay under 64 MB as a broadcast table.
-BROADCAST_IDS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,36 +40,65 @@ def _ship(spark: SparkSession) -> None:
     spark.sparkContext._dimstar_shipped = True
 
 
+_MADE: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage ends in files that outlive any executor, and later joins on
     the table get an exchange of their own, which AQE can split."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this session. Only call it when every
-    result that reads them has been written or collected."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent()
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """At the end of the block, delete the tables that ``materialise`` made in
+    it, apart from paths put into the yielded list. Results that read the
+    others must be written by then."""
+    start, keep = len(_MADE), []
+    try:
+        yield keep
+    finally:
+        for path in _MADE[start:]:
+            if path not in keep:
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _MADE[start:]
+
+
+def last_table() -> str:
+    """Path of the table that ``materialise`` made last."""
+    return _MADE[-1]
+
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values of a written table of plain columns and arrays of them."""
+    def width(field: T.StructField):
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        if isinstance(field.dataType, T.ArrayType):
+            return F.greatest(F.size(c), F.lit(0)) * 8
+        return F.lit(8)
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_IDS) -> DataFrame:
-    """``df`` (an already written table of narrow rows), with a broadcast hint
-    when its counted rows are at most ``max_rows``; otherwise unchanged, so the
-    join stays a shuffle join whose skewed partitions AQE splits."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    row = F.lit(16).cast("bigint")
+    for f in df.schema.fields:
+        row = row + width(f)
+    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("n")).first().n
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (an already written table), with a broadcast hint when its
+    measured bytes are at most ``most``; otherwise unchanged, so the join
+    stays a shuffle join whose skewed partitions AQE splits."""
+    return F.broadcast(df) if measured_bytes(df) <= most else df
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose ``key`` is not in ``ids`` (one column, same
     name). Rows with a null key are kept."""
     return docs.join(small_side(ids), key, "left_anti")
-
-
-def tagged(columns: Iterable[str]) -> list:
-    """Columns by exact name, dots and clashing names included."""
-    return [F.col(f"`{c}`") for c in columns]

@@ -100,7 +100,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str
     asked = parts.select("url", "day", _span(F.col("day")).alias("span"),
                          F.explode_outer(F.concat(hosts, paths)).alias("pattern"))
     spans = materialise(spans, "url-spans")
-    active = (asked.join(small_side(spans, 200_000), ["pattern", "span"])
+    active = (asked.join(small_side(spans), ["pattern", "span"])
               .filter("day >= valid_from AND (valid_to IS NULL OR day < valid_to)"))
     best = F.max(F.struct(F.length("pattern").alias("n"), "allow", "pattern")).alias("b")
     found = (active.groupBy("url", "day").agg(F.count(F.lit(1)).alias("n_active"), best)

@@ -82,7 +82,7 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first"),
         "warc-first")
     # the payload's length is part of the condition: only payloads in ``first`` are long enough
-    marked = rows.join(small_side(first, 500_000), "digest", "left").select(
+    marked = rows.join(small_side(first), "digest", "left").select(
         F.col("id").cast("string").alias("id"), "url", "payload", "digest",
         (F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))).alias("revisit"),
         F.col("first").cast("string").alias("first"))
