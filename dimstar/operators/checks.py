@@ -72,18 +72,22 @@ def not_null_unique(df: DataFrame, table: str, not_null: Sequence[str], key: Seq
                     unique: Sequence[Sequence[str]] = ()) -> DataFrame:
     """S11 constraint check: NULLs in NOT NULL columns, duplicated primary keys
     and duplicated UNIQUE column sets (one row per table)."""
-    nulls = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                   sum((F.count_if(F.col(c).isNull()) for c in not_null), F.lit(0)).alias("nv"))
+    # one grouping by the key serves the row count, the NULLs and the duplicates
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
+                                   sum((F.count_if(F.col(c).isNull()) for c in not_null), F.lit(0)).alias("_nv"))
+    main = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("_nv"), F.lit(0)).alias("nv"),
+                       F.count_if(F.col("_n") > 1).alias("d"))
 
     def dup_groups(cols):
         return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
                   .agg(F.count(F.lit(1)).alias("d")))
 
-    frames = {"n_rows": (nulls, "n_rows", "bigint"), "null_violations": (nulls, "nv", "bigint"),
-              "dup_keys": (dup_groups(key), "d", "bigint")}
+    frames = {"n_rows": (main, "n_rows", "bigint"), "null_violations": (main, "nv", "bigint"),
+              "dup_keys": (main, "d", "bigint")}
     for i, cols in enumerate(unique):
         frames[f"_u{i}"] = (dup_groups(cols), "d", "bigint")
-    out = merge_one_row(**frames)
+    out = merge_one_row(**frames) if unique else main.select("n_rows", F.col("nv").alias("null_violations"),
+                                                             F.col("d").alias("dup_keys"))
     dup_unique = sum((F.col(f"_u{i}") for i in range(len(unique))), F.lit(0)).cast("bigint")
     return out.select(F.lit(table).alias("table"), "n_rows", "null_violations", "dup_keys",
                       dup_unique.alias("dup_unique"),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import INITIAL_STATE, TERMINAL_STATES, TRANSITIONS
+from ..session import cut_lineage
 from .segmented import lag_in_group
 
 Transitions = Sequence[tuple[str, str, str]]
@@ -116,8 +117,9 @@ def run_machine(events: DataFrame, entity: str, order_cols: Sequence[str], event
                   .where(F.col("_p").isNull() | (F.col("_pos") > F.col("_p")))
                   .join(tt, ["_st", "_ev"]))
         nxt = cand.groupBy("_e").agg(F.min(F.struct("_pos", "next_state")).alias("_m"))
-        step = nxt.select("_e", F.col("_m._pos").alias("_pos"), F.col("_m.next_state").alias("_st"),
-                          F.lit(rnd).alias("_round"))
+        # one row per entity, written out: later rounds and the result read it instead of redoing the runs
+        step = cut_lineage(nxt.select("_e", F.col("_m._pos").alias("_pos"), F.col("_m.next_state").alias("_st"),
+                                      F.lit(rnd).alias("_round")))
         steps.append(step)
         frontier = step.select("_e", "_st", F.col("_pos").alias("_p"))
     accepted = steps[0]
