@@ -20,15 +20,15 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000  # per generation; there are two
 LONG_WORD = 200
-_TAIL = ".,!?;:|*%&$#"  # ASCII punctuation that forms a piece of its own after a letter or digit
-_SPACES = " \t\n\r"
+_TAIL = b".,!?;:|*%&$#"  # ASCII punctuation that forms a piece of its own after a letter or digit
+_SPACES = " \t\n\r\x0b\x0c"  # where bytes.split() splits
 
 
 def splits_at_spaces(definition: dict) -> bool:
-    """True if no piece or added token can hold an ASCII space, tab or line
-    end, and these are dropped: the normaliser makes every white-space run one
+    """True if no piece or added token can hold ASCII white space, and it is
+    dropped: the normaliser makes every white-space run one
     space, and the pre-tokenizer keeps only matches of a pattern that has
     white space in no class but negated ones."""
     steps = definition.get("normalizer") or {}
@@ -50,9 +50,35 @@ def splits_at_spaces(definition: dict) -> bool:
                for t in definition.get("added_tokens", []))
 
 
+class _Words(dict):
+    """Encoded words in two generations. A word that neither has is noted in
+    ``new`` and reads as no ids; a word of the old one moves to the young one."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict[bytes, bytes] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            self.new.append(word)
+            return b""
+        self[word] = found
+        return found
+
+    def has(self, word: bytes) -> bool:
+        return word in self or word in self.old
+
+    def turn(self) -> None:
+        if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     def __init__(self, path: str):
-        self.words: dict[str, bytes] = {}
+        self.words = _Words()
         if path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,8 +97,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self.by_word = splits_at_spaces(json.load(f))
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
         group, size = [], 0
         for t in texts:
             group.append(t)
@@ -82,61 +108,72 @@ class Encoder:
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, texts: list[str]) -> list[bytes]:
+    def _group(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._library(texts) if texts else []
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        asked = set().union(*split)
-        asked.discard("")
-        if len(self.words) + len(asked) > CACHE_ENTRIES:
-            self.words = {w: x for w, x in self.words.items() if w in asked}
-        self.words[""] = b""
-        self._learn(asked.difference(self.words))
+            return self._library([t.decode() for t in texts]) if texts else []
         known = self.words
-        out = [b"".join([known[w] for w in x]) for x in split]
-        for w in asked:
+        known.turn()
+        known.new = []
+        split, get, out, again = [t.split() for t in texts], known.__getitem__, [], []
+        for i, x in enumerate(split):
+            before = len(known.new)
+            out.append(b"".join(map(get, x)))
+            if len(known.new) > before:
+                again.append(i)
+        new = set(known.new)
+        self._learn(new)
+        for i in again:
+            out[i] = b"".join(map(get, split[i]))
+        for w in new:
             if len(w) > LONG_WORD:
                 del known[w]
         return out
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: set[bytes]) -> None:
         """A word that ends in a letter or digit and punctuation is two pieces
         or more that meet there: both sides are looked up on their own."""
-        known, cut, alone = self.words, {}, set()
+        known, cut, alone = self.words, [], set()
         for w in new:
             core = w.rstrip(_TAIL)
-            if core and core != w and core[-1].lower().isalnum():  # U+0130 becomes two characters
-                cut[w] = core
+            if core and core != w and _ends_a_piece(core):
+                cut.append((w, core))
                 alone.add(core)
                 alone.add(w[len(core):])
             else:
                 alone.add(w)
-        alone.difference_update(known)
-        letters = [w for w in alone if w.isalpha()]
+        words = [(w, w.decode()) for w in alone if not known.has(w)]
+        letters = [x for x in words if x[1].isalpha()]
         for i in range(0, len(letters), 2000):
             self._learn_letters(letters[i:i + 2000])
-        rest = [w for w in alone if w not in known]
-        known.update(zip(rest, self._library(rest), strict=True))
-        for w, core in cut.items():
+        rest = [x for x in words if x[0] not in known]
+        known.update(zip([w for w, _ in rest], self._library([t for _, t in rest]), strict=True))
+        for w, core in cut:
             known[w] = known[core] + known[w[len(core):]]
         for w in alone - new:
             if len(w) > LONG_WORD:
-                del known[w]
+                known.pop(w, None)
 
-    def _learn_letters(self, words: list[str]) -> None:
+    def _learn_letters(self, words: list[tuple[bytes, str]]) -> None:
         """Words of letters are one piece each: one text of many words saves
         calls. If the pieces are not as many as the words, they are left to
         the caller, one by one."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        found = self.tokenizer.encode(" ".join([t for _, t in words]), add_special_tokens=False)
         piece = np.array(found.word_ids, dtype=np.float64)
         if not len(piece) or np.isnan(piece).any() or piece[-1] + 1 != len(words):
             return
         starts = np.searchsorted(piece, np.arange(len(words) + 1))
         if (np.diff(piece) < 0).any() or (np.diff(starts) < 1).any():
             return
-        data = np.array(found.ids, dtype="<u4").tobytes()
-        for k, w in enumerate(words):
-            self.words[w] = data[4 * starts[k]:4 * starts[k + 1]]
+        data, cuts = np.array(found.ids, dtype="<u4").tobytes(), (4 * starts).tolist()
+        self.words.update((w, data[a:b]) for (w, _), a, b in zip(words, cuts, cuts[1:], strict=False))
+
+
+def _ends_a_piece(core: bytes) -> bool:
+    """The last character, lower-cased, is a letter or digit (U+0130 becomes
+    a letter and a mark that would join the punctuation)."""
+    if core[-1] < 128:
+        return core[-1:].isalnum()
+    return core[-4:].decode(errors="ignore")[-1:].lower().isalnum()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -162,5 +199,5 @@ def digest(path: str) -> str:
         return hashlib.sha256(f"{name} {version(name)} ".encode() + f.read()).hexdigest()
 
 
-def texts_of(column: Iterable) -> list[str]:
-    return [t or "" for t in column]
+def texts_of(column: Iterable) -> list[bytes]:
+    return [t.encode() if isinstance(t, str) else t or b"" for t in column]

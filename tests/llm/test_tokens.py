@@ -29,16 +29,16 @@ def as_bytes(ids):
 
 def test_word_cache_gives_the_library_ids(monkeypatch):
     rng = random.Random(5)
-    alphabet = "aAbB's't  \n\t\r　é́İΣςÀ中ㄱ각가.,!|*0١²Ⅻǆﬁ\x1c\x85\xa0 "
+    alphabet = "aAbB's't  \n\t\r　é́İΣςÀ中ㄱ각가.,!|*0١²Ⅻǆﬁ\x1c\x85\xa0\x0b\x0c "
     texts = ["".join(rng.choice(alphabet) if rng.random() < .8 else
                      rng.choice(["<|endoftext|>", "word", "don't", "x<|startoftext|>.", "<|endoftext|>,"])
                      for _ in range(rng.randrange(40))) for _ in range(2500)]
     texts += ["".join(chr(rng.choice([rng.randrange(32, 0xD7FF), rng.randrange(32, 0x250), 32])) for _ in range(30))
               for _ in range(500)] + ["", "x" * 5000, "a. " * 3000]
     enc = L.Encoder(FILE)
-    assert enc.by_word and list(enc.ids(texts)) == [as_bytes(x) for x in library(texts)]
+    assert enc.by_word and list(enc.ids(L.texts_of(texts))) == [as_bytes(x) for x in library(texts)]
     monkeypatch.setattr(L, "CACHE_ENTRIES", 50)
-    assert list(L.Encoder(FILE).ids(texts[:300])) == [as_bytes(x) for x in library(texts[:300])]
+    assert list(L.Encoder(FILE).ids(L.texts_of(texts[:300]))) == [as_bytes(x) for x in library(texts[:300])]
     assert not L.Encoder(P.path("byte_bpe_50k.json")).by_word
 
 
