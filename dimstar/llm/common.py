@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -31,12 +31,16 @@ def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataF
 def _ship(spark: SparkSession) -> None:
     if getattr(spark.sparkContext, "_dimstar_shipped", False):
         return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="dimstar-py-")) / "dimstar.zip"  # the driver serves it from here
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    root, data = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(target))
+    path = f"{scratch_path(spark, 'python')}/dimstar.zip"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
     spark.sparkContext._dimstar_shipped = True
 
 
