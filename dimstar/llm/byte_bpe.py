@@ -40,8 +40,8 @@ from .common import map_arrow
 # Unicode White_Space, which is what \s means in the pattern
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-CACHE_ENTRIES = 400_000
-PAIR_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
+PAIR_ENTRIES = 250_000
 
 
 class Vocabulary:
@@ -287,7 +287,7 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def _groups(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
+def _groups(texts: list[str], size: int = 2_000_000) -> Iterator[list[str]]:
     """Texts in order, in groups of about ``size`` characters (one long text is a group)."""
     group, total = [], 0
     for t in texts:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 BROADCAST_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors' Python
     first: they need not have it installed."""
-    _ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    ship(df.sparkSession)
 
+    def released(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
 
-def _ship(spark: SparkSession) -> None:
+    return df.mapInArrow(released, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Once per session: this package for the executors' Python, and Arrow
+    batches bounded by bytes (if the session sets no bound), since a fixed
+    number of rows of long texts is no bound on memory."""
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "", "-1", "2147483647", "2147483647b"):
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     if getattr(spark.sparkContext, "_dimstar_shipped", False):
         return
     root, data = Path(__file__).resolve().parents[1], io.BytesIO()
@@ -106,3 +119,10 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
     """Rows of ``docs`` whose ``key`` is not in ``ids`` (one column, same
     name). Rows with a null key are kept."""
     return docs.join(small_side(ids), key, "left_anti")
+
+
+def hashed_share(keys: list, wanted: int, total: int):
+    """Condition that holds for a share of the keys, by their hash, so that
+    about ``wanted`` of ``total`` rows pass. Unlike an ordered limit it needs
+    no task that sees the first rows of all others."""
+    return F.pmod(F.xxhash64(F.lit("share"), *keys), F.lit(1 << 40)) < int((1 << 40) * min(1.0, wanted / max(1, total)))

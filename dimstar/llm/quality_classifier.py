@@ -117,7 +117,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Per row: ``row`` (the whole input row if ``keep_rows``, else its id),
     the counts, ``held_out``, ``score`` and ``predicted``."""
     source = docs if keep_rows else docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    stats = with_counts(source, F.col(f"`{text_col}`"))
+    stats = with_counts(source, text_col)
     if not keep_rows:
         stats = stats.select(F.struct(F.col("row")[id_col].alias(id_col)).alias("row"), *COUNTS)
     stats = materialise(stats, "classifier-stats")

@@ -76,16 +76,17 @@ def counts(text: bytes | None) -> tuple[int, ...]:
             text.count(b"."), len(set(words)), sum(map(eq, words, words[1:])), int((lengths <= 3).sum()))
 
 
-def with_counts(rows: DataFrame, text: Column) -> DataFrame:
+def with_counts(rows: DataFrame, text_col: str) -> DataFrame:
     """``rows`` (whatever columns) as one struct column ``row``, followed by
-    the counts of ``text`` as longs."""
-    packed = rows.select(F.struct(*[rows[f"`{c}`"] for c in rows.columns]).alias("row"),
-                         text.cast("binary").alias("t"))
+    the counts of its column ``text_col`` as longs."""
+    packed = rows.select(F.struct(*[rows[f"`{c}`"] for c in rows.columns]).alias("row"))
     schema = T.StructType([packed.schema["row"], *(T.StructField(c, T.LongType()) for c in COUNTS)])
+    at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = np.array([counts(t.as_py()) for t in b.column(1)], dtype=np.int64).reshape(-1, len(COUNTS))
+            texts = b.column(0).field(at).cast(pa.string()).cast(pa.binary())
+            got = np.array([counts(t.as_py()) for t in texts], dtype=np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(got[:, i]) for i in range(len(COUNTS)))], ["row", *COUNTS])
 

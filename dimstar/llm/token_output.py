@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from . import token_library
-from .common import _ship, map_arrow, small_side
+from .common import map_arrow, ship, small_side
 from .files import Reader, Writer
 
 END_ID = 1
@@ -195,7 +195,7 @@ def lookup(keys: DataFrame, output: Output) -> DataFrame:
     ``keys`` (doc_id, occurrence) that the output has; offset and length
     count ids."""
     spark = keys.sparkSession
-    _ship(spark)
+    ship(spark)
     asked = _hashed(keys.select("doc_id", "occurrence"), output.regions)
     schema = T.StructType([keys.schema["doc_id"], *(T.StructField(c, T.LongType())
                                                     for c in ("occurrence", "shard", "offset", "length"))])

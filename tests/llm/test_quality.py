@@ -4,7 +4,6 @@ import zlib
 
 import pytest
 from helpers import LABELS, documents, table_rows, words
-from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from dimstar.llm import quality_classifier as C
@@ -83,7 +82,7 @@ def test_classifier_query(spark):
 def test_rules_hold_for_their_rows(spark):
     """Every tree path, compiled, selects the rows that the bounds describe."""
     rule = C.Rule((("symbols", 0.1, float("inf")), ("upper", float("-inf"), 0.5)))
-    df = S.with_counts(documents(spark, ["### a b", "AAAA BBB ###", "plain words"]), F.col("text"))
+    df = S.with_counts(documents(spark, ["### a b", "AAAA BBB ###", "plain words"]), "text")
     assert [r.v for r in df.select("row.doc_id", rule.column().alias("v")).orderBy("doc_id").collect()] == \
         [True, True, False]
 
