@@ -8,7 +8,7 @@ a lasso penalty gives each paragraph a probability per licence family and for
 Training needs no labels in the tables: positive rows are the templates and
 variants of them (one word left out, beginnings, ends, template inside other
 words); negative rows are paragraphs of the documents that share little with
-any template, at most ``BACKGROUND`` of them, those with the smallest hashes.
+any template, about ``BACKGROUND`` of them, chosen by their hash.
 The sample is the only bounded step; every paragraph of every document is
 classified.
 
@@ -34,7 +34,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import hashed_share, materialise
 
 # Sentences by which well-known licences are referred to.
 TEMPLATES = {
@@ -135,10 +135,11 @@ def _features(rows: DataFrame) -> DataFrame:
     return counter.transform(rows.withColumn("terms", F.concat("words", pairs(F.col("words")))))
 
 
-def training_rows(spark: SparkSession, found: DataFrame, background: int = BACKGROUND) -> DataFrame:
-    """(family, words, held): templates with variants, and background paragraphs."""
-    sample = found.filter(F.size("words") <= 200).select(
-        "words", F.xxhash64(F.array_join("words", " ")).alias("h")).orderBy("h").limit(background).select("words")
+def training_rows(spark: SparkSession, found: DataFrame, total: int, background: int = BACKGROUND) -> DataFrame:
+    """(family, words, held): templates with variants, and background
+    paragraphs, about ``background`` of ``total``."""
+    sample = found.filter(F.size("words") <= 200).select("words").filter(
+        hashed_share([F.array_join("words", " ")], background, total)).distinct()
     sample = materialise(sample.select("words", F.array_distinct(pairs(F.col("words"))).alias("grams")),
                          "licence-sample")
     negative = materialise(sample.filter(_likeness(spark, F.col("grams")) < 0.3).select(
@@ -179,7 +180,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backgr
     that refer to a licence; ``licence`` is a family or ``unknown``."""
     spark = docs.sparkSession
     found = paragraphs(docs, id_col, text_col)
-    model, need = fit(training_rows(spark, found, background))
+    lines = F.size(F.split(F.col(f"`{text_col}`").cast("string"), "\n"))
+    total = docs.agg(F.coalesce(F.sum(F.greatest(lines, F.lit(0))), F.lit(0)).alias("n")).first().n
+    model, need = fit(training_rows(spark, found, total, background))
     # the condition is tested inside a generator, so that the model runs once per paragraph
     row = F.struct("doc_id", "paragraph", "words", vector_to_array("probability").alias("p"))
     likely = model.transform(_features(found)).select(

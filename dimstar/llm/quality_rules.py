@@ -8,8 +8,8 @@ path is short. The splits are drawn over the box of all labelled rows rather
 than the tree's own rows: a statistic that is constant among clean texts (no
 symbols at all, say) can then isolate a text too.
 
-Fitting is the only step on a bounded sample: ``TREES * SAMPLE`` rows, the
-clean labelled rows with the smallest id hashes. The boxes and the threshold
+Fitting is the only step on a bounded sample: about ``POOL`` clean labelled
+rows, chosen by the hash of their id, of which each tree draws its own. The boxes and the threshold
 come from all labelled rows: of all score bins, the one whose cut makes the
 least ``missed + CLEAN_COST * lost`` labelled rows (fewest rejections on a
 tie; no labelled junk: nothing is rejected by score).
@@ -22,18 +22,17 @@ columns of the input never meet the operator's own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialise
+from .common import hashed_share, materialise, ship
 from .text_stats import COUNTS, features, with_counts
 
 TREES = 150
 SAMPLE = 256
+POOL = 8192
 DEPTH = 14
 CLEAN_COST = 2.0
 BINS = 2000
@@ -110,31 +109,30 @@ class Forest:
 
 
 def with_anomaly(stats: DataFrame, forest: Forest) -> DataFrame:
-    """``stats`` with a double column ``anomaly``."""
-    names = list(features())
-    kept = stats.columns
-    rows = stats.select(*kept, F.array(*features().values()).alias("_x"))
-    schema = stats.schema.add("anomaly", "double")
+    """``stats`` with a double column ``anomaly``; only the statistics go
+    through Python, not the rows."""
+    ship(stats.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column(len(kept)).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(forest.scores(x))], [*kept, "anomaly"])
+    @F.pandas_udf("double")
+    def anomaly(*x: pd.Series) -> pd.Series:
+        return pd.Series(forest.scores(np.column_stack([c.to_numpy() for c in x])))
 
-    return map_arrow(rows, run, schema)
+    return stats.withColumn("anomaly", anomaly(*features().values()))
 
 
-def fit(labelled: DataFrame, trees: int = TREES, sample: int = SAMPLE) -> tuple[Forest, float] | None:
+def fit(labelled: DataFrame, trees: int = TREES, sample: int = SAMPLE, pool: int = POOL) -> tuple[Forest, float] | None:
     """Forest and score threshold from ``labelled`` (id ``key``, counts and
     ``quality``), or None without clean rows."""
     x = features()
     usable = labelled.filter(~base_failed())
-    clean = (usable.filter("quality = 1").select("key", F.array(*x.values()).alias("x"))
-             .orderBy(F.xxhash64("key"), "key").limit(trees * sample).collect())
+    ends = usable.agg(F.count_if(F.col("quality") == 1).alias("n"), *[
+        f(c).alias(f"{k}{i}") for i, c in enumerate(x.values()) for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    # about ``pool`` rows; the limit only matters if one id repeats very often
+    clean = (usable.filter("quality = 1").filter(hashed_share([F.col("key")], pool, ends.n))
+             .select(F.array(*x.values()).alias("x"), F.xxhash64("key").alias("h")).limit(2 * pool).collect())
+    clean.sort(key=lambda r: (r.h, r.x))
     if not clean:
         return None
-    ends = usable.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(x.values())
-                        for k, f in (("lo", F.min), ("hi", F.max))]).first()
     low, high = (np.array([ends[f"{k}{i}"] for i in range(len(x))]) for k in ("lo", "hi"))
     forest = Forest(np.array([r.x for r in clean]), low, high, trees, min(sample, len(clean)))
     bins = (with_anomaly(usable, forest).groupBy(F.ceil(F.col("anomaly") * BINS).alias("bin"))
@@ -156,7 +154,7 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     the counts, ``base_failed``, ``anomaly``, ``threshold`` and ``kept``.
     ``labels`` has the id and ``quality`` (1 clean, 0 junk)."""
     source = docs if keep_rows else docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    stats = with_counts(source, F.col(f"`{text_col}`"))
+    stats = with_counts(source, text_col)
     if not keep_rows:
         stats = stats.select(F.struct(F.col("row")[id_col].alias(id_col)).alias("row"), *COUNTS)
     stats = materialise(stats, "quality-stats")
