@@ -9,6 +9,7 @@ once and kept in a bounded cache. Otherwise whole texts are given to it.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
-CACHE_ENTRIES = 300_000  # per generation; there are two
+CACHE_ENTRIES = 500_000
 LONG_WORD = 200
 _TAIL = b".,!?;:|*%&$#"  # ASCII punctuation that forms a piece of its own after a letter or digit
 _SPACES = " \t\n\r\x0b\x0c"  # where bytes.split() splits
@@ -50,35 +51,9 @@ def splits_at_spaces(definition: dict) -> bool:
                for t in definition.get("added_tokens", []))
 
 
-class _Words(dict):
-    """Encoded words in two generations. A word that neither has is noted in
-    ``new`` and reads as no ids; a word of the old one moves to the young one."""
-
-    def __init__(self):
-        super().__init__()
-        self.old: dict[bytes, bytes] = {}
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.old.get(word)
-        if found is None:
-            self.new.append(word)
-            return b""
-        self[word] = found
-        return found
-
-    def has(self, word: bytes) -> bool:
-        return word in self or word in self.old
-
-    def turn(self) -> None:
-        if len(self) > CACHE_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-
-
 class Encoder:
     def __init__(self, path: str):
-        self.words = _Words()
+        self.words: dict[bytes, bytes] = {}
         if path.endswith(".model"):
             import sentencepiece
             model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -111,19 +86,24 @@ class Encoder:
     def _group(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._library([t.decode() for t in texts]) if texts else []
+        collects = gc.isenabled()
+        gc.disable()  # nothing here makes cycles; collections would walk the cache again and again
+        try:
+            return self._by_word(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _by_word(self, texts: list[bytes]) -> list[bytes]:
+        split = [t.split() for t in texts]
+        asked = set().union(*split)
+        if len(self.words) > CACHE_ENTRIES:
+            self.words = {w: self.words[w] for w in asked.intersection(self.words)}
         known = self.words
-        known.turn()
-        known.new = []
-        split, get, out, again = [t.split() for t in texts], known.__getitem__, [], []
-        for i, x in enumerate(split):
-            before = len(known.new)
-            out.append(b"".join(map(get, x)))
-            if len(known.new) > before:
-                again.append(i)
-        new = set(known.new)
+        new = asked.difference(known)
         self._learn(new)
-        for i in again:
-            out[i] = b"".join(map(get, split[i]))
+        get = known.__getitem__
+        out = [b"".join(map(get, x)) for x in split]
         for w in new:
             if len(w) > LONG_WORD:
                 del known[w]
@@ -141,23 +121,23 @@ class Encoder:
                 alone.add(w[len(core):])
             else:
                 alone.add(w)
-        words = [(w, w.decode()) for w in alone if not known.has(w)]
-        letters = [x for x in words if x[1].isalpha()]
+        alone.difference_update(known)
+        letters = [w for w in alone if w.isalpha() or w.decode().isalpha()]
         for i in range(0, len(letters), 2000):
             self._learn_letters(letters[i:i + 2000])
-        rest = [x for x in words if x[0] not in known]
-        known.update(zip([w for w, _ in rest], self._library([t for _, t in rest]), strict=True))
+        rest = [w for w in alone if w not in known]
+        known.update(zip(rest, self._library([w.decode() for w in rest]), strict=True))
         for w, core in cut:
             known[w] = known[core] + known[w[len(core):]]
         for w in alone - new:
             if len(w) > LONG_WORD:
                 known.pop(w, None)
 
-    def _learn_letters(self, words: list[tuple[bytes, str]]) -> None:
+    def _learn_letters(self, words: list[bytes]) -> None:
         """Words of letters are one piece each: one text of many words saves
         calls. If the pieces are not as many as the words, they are left to
         the caller, one by one."""
-        found = self.tokenizer.encode(" ".join([t for _, t in words]), add_special_tokens=False)
+        found = self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False)
         piece = np.array(found.word_ids, dtype=np.float64)
         if not len(piece) or np.isnan(piece).any() or piece[-1] + 1 != len(words):
             return
@@ -165,7 +145,7 @@ class Encoder:
         if (np.diff(piece) < 0).any() or (np.diff(starts) < 1).any():
             return
         data, cuts = np.array(found.ids, dtype="<u4").tobytes(), (4 * starts).tolist()
-        self.words.update((w, data[a:b]) for (w, _), a, b in zip(words, cuts, cuts[1:], strict=False))
+        self.words.update(zip(words, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
 
 def _ends_a_piece(core: bytes) -> bool:
