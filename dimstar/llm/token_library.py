@@ -21,7 +21,7 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 750_000
 LONG_WORD = 200
 _TAIL = b".,!?;:|*%&$#"  # ASCII punctuation that forms a piece of its own after a letter or digit
 _SPACES = " \t\n\r\x0b\x0c"  # where bytes.split() splits
