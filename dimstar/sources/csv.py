@@ -7,11 +7,15 @@ field is NULL; text such as "NA" stays a value. Types are explicit, never
 inferred; zip codes and VAT numbers are text so leading zeros survive.
 
 Nothing is lost without a trace: a line with more or fewer fields than the
-header, or with a value that does not have its type, is malformed. By default
-reading such a line fails; a load quarantines it instead.
-
-A file is split among tasks by lines. ``multi_line`` allows quoted fields with
-line ends; each file is then read by one task, whatever its size.
+header, with a value that does not have its type, or with an odd number of
+quotes is malformed. By default reading such a line fails; a load quarantines
+it instead.
+
+A file is split among tasks by lines. A quoted field with a line end then tears
+its record: the first and the last line of it have an odd number of quotes, so
+both are malformed, and so are the lines between them unless one is a complete
+row by itself, which cannot be told from a row. ``multi_line`` allows quoted
+fields with line ends; each file is then read by one task, whatever its size.
 """
 
 from __future__ import annotations
@@ -86,13 +90,36 @@ _READ_OPTIONS = {
     "nanValue": "NaN",
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
-    "enforceSchema": "false",  # a file whose header differs from the first one's fails
+    "enforceSchema": "false",  # a file whose header line differs from the first one's fails
     "columnPruning": "false",  # fields are counted whatever columns a query selects
     "ignoreLeadingWhiteSpace": "false",   # text is kept byte for byte
     "ignoreTrailingWhiteSpace": "false",
 }
 _RAW = "_raw_line"
 RAGGED = "fields"  # named in ``_corrupt_record`` when a line has too many or too few
+TORN = "quotes"  # named there when a line has an odd number of quotes
+_NO_QUOTE = "\uffff"  # not a character: lines are first read without quoting
+
+
+def _lines(reader, path: str, text: T.StructType) -> DataFrame:
+    """The columns of ``text`` and ``_torn`` of every line. The CSV source tells
+    a line's text only when it has too many or too few fields, and a field
+    that its quotes do not end looks like any other. So the source reads
+    without quoting, where a line is its fields joined by commas, and the line
+    is parsed from that."""
+    plain = reader.option("quote", _NO_QUOTE)
+    header = plain.csv(path).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RAW]])
+    read = plain.option("columnNameOfCorruptRecord", _RAW).schema(fields).csv(path).toDF(
+        *[f"f{i}" for i in range(len(header))], _RAW)
+    joined = F.concat_ws(",", *[F.coalesce(F.col(f"f{i}"), F.lit("")) for i in range(len(header))])
+    line = read.select(F.coalesce(_RAW, joined).alias("line"))
+    options = {k: v for k, v in _READ_OPTIONS.items() if k not in ("header", "enforceSchema", "encoding")}
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in text.names)
+    parsed = F.from_csv("line", schema, options | {"columnNameOfCorruptRecord": _RAW})
+    torn = F.length(F.regexp_replace("line", '[^"]+', "")) % 2 == 1
+    # a generator: filters on its output do not parse the line again
+    return line.select(F.inline_outer(F.array(F.struct(parsed.alias("p"), torn.alias("_torn"))))).select("p.*", "_torn")
 
 
 def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False,
@@ -102,19 +129,25 @@ def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool
 
     Fields are read as text and cast with ``try_cast``; a field whose text is
     present but does not cast is malformed. With ``keep_corrupt`` the names of
-    such fields (and ``fields`` for a ragged line) are listed in
-    ``_corrupt_record``, NULL when the line is clean; without it a malformed
-    line fails the query that reads it.
+    such fields (``fields`` for a ragged line, ``quotes`` for an odd number of
+    quotes) are listed in ``_corrupt_record``, NULL when the line is clean;
+    without it a malformed line fails the query that reads it.
     """
     schema = SCHEMAS[entity]
-    reader = spark.read.options(**_READ_OPTIONS, multiLine=str(multi_line).lower())
-    header = reader.csv(path).columns
+
+    def reader():
+        return spark.read.options(**_READ_OPTIONS, multiLine=str(multi_line).lower())
+
+    header = reader().csv(path).columns
     missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)}")
     text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RAW]])
-    raw = reader.option("columnNameOfCorruptRecord", _RAW).schema(text).csv(path)
-    bad = [F.when(F.col(_RAW).isNotNull(), F.lit(RAGGED))] + [
+    if multi_line:
+        raw = reader().option("columnNameOfCorruptRecord", _RAW).schema(text).csv(path).withColumn("_torn", F.lit(False))
+    else:
+        raw = _lines(reader(), path, text)
+    bad = [F.when(F.col(_RAW).isNotNull(), F.lit(RAGGED)), F.when(F.col("_torn"), F.lit(TORN))] + [
         F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
         for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     names = F.concat_ws(",", *bad)
