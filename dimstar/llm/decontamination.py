@@ -9,22 +9,28 @@ overlap must hold a window of ``WINDOW`` tokens of the item (the whole item if
 it is shorter) of which at least ``MIN_EQUAL`` are equal in place.
 
 ``MASKS`` are chosen so that any 13 tokens with two substitutions keep some
-mask free of them: with the default window and share every such overlap has a
-hit, and the result is the same as comparing all alignments.
+mask free of them. Where they do not suffice (items of fewer than 12 tokens,
+another window or share), ``masks_for`` adds masks: spans, or the whole length
+with gaps at the substitutions, down to a single token. So every overlap that
+the verification accepts has a hit, and the result is the same as comparing
+all alignments. Documents are hashed with an added mask only if the benchmark
+has items that need it.
 
 The benchmark side is counted and broadcast only under a bound; above it the
 seeds are joined with a shuffle. Documents are read twice: once for seeds,
 once to verify the documents that have hits.
 
 Defined cases: null and empty texts and items have no tokens and never match;
-items shorter than the shortest mask cannot be seeded and never match; an item
-or document that repeats is reported once per (id, item id), at its best
+an item or document that repeats is reported once per (id, item id), at its best
 place; rows whose id is null are not reported (and kept by
 ``drop_contaminated``); only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +39,8 @@ from .common import materialise, small_side, without_ids
 MASKS = ("1000011111", "111010011", "1110111")
 WINDOW = 13
 MIN_EQUAL = 0.8
+SHORT_SPAN = 3  # tokens of a span that is short enough to be common
+PATTERNS = 20_000  # sets of substitutions that are gone through one by one
 _NOISE = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -46,6 +54,27 @@ def token_hashes(text: Column) -> Column:
     return F.coalesce(F.transform(tokens(text), lambda w: F.xxhash64(w)), F.array().cast("array<bigint>"))
 
 
+def masks_for(n: int, min_equal: float = MIN_EQUAL, masks: tuple[str, ...] = MASKS) -> tuple[str, ...]:
+    """The masks that, besides ``masks``, ``n`` tokens need so that each set
+    of substitutions that ``min_equal`` allows leaves some mask free."""
+    wrong = max(0, min(n - 1, n - math.ceil(n * min_equal)))
+    least = n // (wrong + 1)  # some run of equal tokens is as long as this
+    if math.comb(n, wrong) > PATTERNS:
+        return ("1" * least,)
+
+    def missed(used: tuple[str, ...]) -> list[tuple[int, ...]]:
+        at = [{s + i for i, c in enumerate(m) if c == "1"} for m in used for s in range(n - len(m) + 1)]
+        return [c for c in combinations(range(n), wrong) if not any(a.isdisjoint(c) for a in at)]
+
+    left = missed(masks)
+    if not left:
+        return ()
+    for span in range(n - wrong, max(least, SHORT_SPAN) - 1, -1):
+        if not missed((*masks, "1" * span)):
+            return ("1" * span,)
+    return tuple(sorted({"".join("0" if i in c else "1" for i in range(n)).strip("0") for c in left}))
+
+
 def _keys(h: Column, n: Column, number: int, mask: str) -> Column:
     """The mask's hash at every position where it fits."""
     at = [i for i, c in enumerate(mask) if c == "1"]
@@ -68,12 +97,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = materialise(
         benchmark.select(F.col(f"`{item_col}`").alias("item_id"),
                          token_hashes(F.col(f"`{item_text_col}`")).alias("item"))
-        .filter(F.col("item_id").isNotNull() & (F.size("item") >= min(map(len, masks)))).distinct(),
+        .filter(F.col("item_id").isNotNull() & (F.size("item") > 0)).distinct(),
         "decontam-items")
     size = F.size("item")
+    needs = F.least(size, F.lit(window))
+    lengths = sorted(r.n for r in items.select(needs.alias("n")).distinct().collect())  # ``window`` rows at most
+    added: dict[str, list[int]] = {}
+    for length in lengths:
+        for mask in masks_for(length, min_equal, masks):
+            added.setdefault(mask, []).append(length)
+    everywhere, masks = len(masks), (*masks, *added)
+    # an item is seeded with the added masks that its length needs
+    lays = lambda m, mask: F.lit(True) if m < everywhere else needs.isin(added[mask])
     seeds = materialise(
         items.select("item_id", size.alias("n"), F.explode(F.concat(*[
-            F.transform(_keys(F.col("item"), size, m, mask), _seed(m))
+            F.when(lays(m, mask), F.transform(_keys(F.col("item"), size, m, mask), _seed(m))).otherwise(
+                F.expr("array()").cast("array<struct<key:bigint,at:int,mask:int>>"))
             for m, mask in enumerate(masks)])).alias("s"))
         .select("item_id", "s.*").distinct(), "decontam-seeds")
 

@@ -59,6 +59,32 @@ def test_against_all_alignments(spark):
     assert sorted(tuple(r) for r in found.collect()) == brute_force(docs, items)
 
 
+@pytest.mark.parametrize("n", range(1, 14))
+def test_masks_of_every_length_leave_one_free(n):
+    masks = (*D.MASKS, *D.masks_for(n))
+    at = [{s + i for i, c in enumerate(m) if c == "1"} for m in masks for s in range(n - len(m) + 1)]
+    for c in combinations(range(n), n - math.ceil(n * D.MIN_EQUAL)):
+        assert any(p.isdisjoint(c) for p in at)
+    assert n < 12 or D.masks_for(n) == ()
+
+
+def test_short_items_against_all_alignments(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 13)] + [(20, "the"), (21, "a b a b a")]
+    docs = [(0, "the end of the a b a x a b a b")]
+    for n, text in items[:12]:
+        wrong = n - math.ceil(n * D.MIN_EQUAL)
+        for size in {wrong, wrong + 1}:  # the last size is not accepted
+            for c in combinations(range(n), size):
+                w = ["zzz" if i in c else x for i, x in enumerate(text.split())]
+                docs.append((len(docs), " ".join(["p"] * (len(docs) % 3) + w + ["q"] * (len(docs) % 2))))
+    expected = brute_force(docs, items)
+    assert {i for _, i, *_ in expected} == {i for i, _ in items}
+    found = D.contaminated(documents(spark, docs), spark.createDataFrame(items, ITEMS))
+    assert sorted(tuple(r) for r in found.collect()) == expected
+    wide = D.contaminated(documents(spark, docs), spark.createDataFrame(items[:10], ITEMS), window=4)
+    assert {r.item_id for r in wide.collect()} == set(range(1, 11))
+
+
 def test_query_matches_oracle(spark):
     name = "op1_decontamination"
     assert result_rows(Q.queries()[name](spark, SF_SMALL)) == oracle_rows(SF_SMALL, Q.oracle_sql()[name])
