@@ -40,6 +40,7 @@ class Reader:
     def __init__(self, folder: str, name: str):
         self.fs, path = opened(folder)
         self.file = self.fs.open_input_file(f"{path}/{name}")
+        self.size = self.file.size()
 
     def read(self, start: int, size: int) -> bytes:
         self.file.seek(start)

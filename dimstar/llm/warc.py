@@ -114,28 +114,42 @@ def _parse(head: bytes) -> tuple[dict[str, str], int] | None:
         if not colon:
             return None
         fields[key.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdecimal():
+    size = fields.get("content-length", "")
+    if not size.isdecimal() or len(size.lstrip("0")) > 18:  # no file is that long
         return None
     return fields, end + 4
 
 
 def _header(file: Reader, at: int, data: bytes = b"") -> tuple[dict[str, str], int] | None:
-    """The header at ``at``; ``data`` is what is already known of the file from there."""
-    if found := _parse(data):
-        return found
-    if data and not MAGIC.startswith(data[:len(MAGIC)]) and not _VERSION.match(data):
-        return None
-    return _parse(file.read(at, _HEAD))
+    """The header at ``at``, of any length; ``data`` is what is already known of the file from there."""
+    block = _HEAD
+    while not (found := _parse(data)):
+        if _refused(data):
+            return None
+        more = file.read(at + len(data), block)
+        if not more:
+            return None
+        data, block = data + more, 2 * block
+    return found
+
+
+def _refused(data: bytes) -> bool:
+    """Whether ``data``, which does not parse, starts no header, whatever follows it."""
+    if len(data) >= len(MAGIC) + 3 and not _VERSION.match(data):
+        return True
+    return b"\r\n\r\n" in data or any(b":" not in line for line in data.split(b"\r\n")[1:-1])
 
 
 def candidates(file: Reader, start: int, stop: int) -> list[tuple[int, int]]:
-    """(offset, successor) of everything in [start, stop) that parses as a record header."""
+    """(offset, successor) of everything in [start, stop) that parses as a
+    record header and whose record ends inside the file."""
     data, found = file.read(start, stop - start + len(MAGIC) - 1), []
     at = data.find(MAGIC)
     while 0 <= at < stop - start:
         head = _header(file, start + at, data[at:at + _HEAD])
-        if head:
-            found.append((start + at, start + at + head[1] + int(head[0]["content-length"]) + 4))
+        after = start + at + head[1] + int(head[0]["content-length"]) + 4 if head else None
+        if head and after <= file.size:
+            found.append((start + at, after))
         at = data.find(MAGIC, at + 1)
     return found
 

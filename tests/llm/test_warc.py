@@ -39,6 +39,22 @@ def test_records_inside_payloads_are_rejected(spark, range_size):
     file.close()
 
 
+@pytest.mark.parametrize("size", ["9" * 20, "9" * 5000, "1" + "0" * 12])
+def test_lengths_beyond_the_file_are_rejected(spark, size):
+    fake = f"WARC/1.1\r\nContent-Length: {size}\r\n\r\n"
+    rows = [(1, "http://a/1", f"before {fake} after"), (2, "http://a/2", "plain")]
+    got = {r.page_id: r.payload_bytes for r in W.read(W.write(pages(spark, rows).coalesce(1)), 64).collect()}
+    assert got == {i: len(html) for i, _, html in rows}
+
+
+@pytest.mark.parametrize("range_size", [1000, 1 << 20])
+def test_headers_of_any_length(spark, range_size):
+    fake = "WARC/1.1\r\nName: " + "v" * 200_000
+    rows = [(1, "http://a/1", "x"), (2, "http://a/" + "u" * 300_000, "y"), (3, "http://a/3", fake)]
+    got = {r.page_id: (r.url, r.payload_bytes) for r in W.read(W.write(pages(spark, rows).coalesce(1)), range_size).collect()}
+    assert got == {i: (url, len(html)) for i, url, html in rows}
+
+
 def test_broken_archive_fails(spark):
     archives = W.write(pages(spark, [(i, "http://a", "y" * 500 + str(i)) for i in range(5)]).coalesce(1))
     row = archives.first()
