@@ -1,14 +1,21 @@
 """Licence scan with a trained paragraph classifier, as DataFrame operations only.
 
-Paragraphs are lines with a word. The words and word pairs that they share with
-the templates make a sparse vector, and a multinomial logistic regression with
-a lasso penalty gives each paragraph a probability per licence family and for
-"no licence".
+Paragraphs are lines with a word, and blocks: two or more such lines in a row,
+as a hard-wrapped notice has them, numbered by their first line. The words and
+word pairs that they share with the templates make a sparse vector, and a
+multinomial logistic regression with a lasso penalty gives each paragraph a
+probability per licence family and for "no licence".
+
+A block is reported if it is given a family that none of its lines has by
+itself; of its lines, those at least ``PART`` as like that family as their own
+are then parts of the notice and not reported. A block is reported as
+``unknown`` only if none of its lines is reported.
 
 Training needs no labels in the tables: positive rows are the templates and
 variants of them (one word left out, beginnings, ends, template inside other
 words); negative rows are paragraphs of the documents that share little with
-any template, about ``BACKGROUND`` of them, chosen by their hash.
+any template, about ``BACKGROUND`` of the lines and the same share of the
+blocks, chosen by their hash.
 The sample is the only bounded step; every paragraph of every document is
 classified.
 
@@ -31,7 +38,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import hashed_share, materialise
@@ -90,6 +97,7 @@ LASSO = 2e-4
 FLOOR = 0.5
 CONFIRM = 0.6
 DOUBT = 0.15
+PART = 0.5
 _NOISE = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -106,11 +114,26 @@ def pairs(w: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraph, words): lines with a word, numbered from 0 by line."""
-    # words are made before the generator: what follows reads its output and does not make them again
+    """(doc_id, paragraph, lines, block, words): lines with a word and blocks
+    of several, numbered from 0 by (first) line; ``block`` is the hash of the
+    block that the paragraph is or lies in."""
+    # words are made before the generators: what follows reads their output and does not make them again
     split = F.transform(F.split(F.col(f"`{text_col}`").cast("string"), "\n"), words)
-    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.posexplode_outer(split).alias("paragraph", "words"))
-    return found.filter(F.size("words") > 0)
+    read = docs.select(F.col(f"`{id_col}`").alias("doc_id"), split.alias("split"))
+    filled = lambda i: F.coalesce(F.size(F.get("split", i)), F.lit(0)) > 0
+    at = F.sequence(F.lit(0), F.size("split") - 1)
+    first, last = F.filter(at, lambda i: filled(i) & ~filled(i - 1)), F.filter(at, lambda i: filled(i) & ~filled(i + 1))
+    blocks = F.zip_with(first, last, lambda a, b: F.struct(
+        a.alias("start"), F.slice("split", a + 1, b - a + 1).alias("part")))
+    block = read.select("doc_id", F.explode_outer(F.when(F.col("split").isNotNull(), blocks)).alias("b")).select(
+        "doc_id", "b.start", "b.part", F.xxhash64("b.start", "b.part").alias("block"))
+    lines = F.transform("part", lambda w, i: F.struct((F.col("start") + i).alias("paragraph"), F.lit(1).alias("lines"),
+                                                      w.alias("words")))
+    whole = F.transform(F.array(F.flatten("part")), lambda w: F.struct(
+        F.col("start").alias("paragraph"), F.size("part").alias("lines"), w.alias("words")))
+    both = F.when(F.size("part") > 1, F.concat(lines, whole)).otherwise(lines)
+    found = block.select("doc_id", "block", F.explode_outer(both).alias("p"))
+    return found.select("doc_id", "p.paragraph", "p.lines", "block", "p.words").filter(F.size("words") > 0)
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -184,7 +207,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backgr
     total = docs.agg(F.coalesce(F.sum(F.greatest(lines, F.lit(0))), F.lit(0)).alias("n")).first().n
     model, need = fit(training_rows(spark, found, total, background))
     # the condition is tested inside a generator, so that the model runs once per paragraph
-    row = F.struct("doc_id", "paragraph", "words", vector_to_array("probability").alias("p"))
+    row = F.struct("doc_id", "paragraph", "lines", "block", "words", vector_to_array("probability").alias("p"))
     likely = model.transform(_features(found)).select(
         F.explode_outer(F.filter(F.array(row), lambda r: F.element_at(r["p"], NONE + 1) < 0.5)).alias("r"))
     scored = materialise(likely.filter("r IS NOT NULL").select("r.*").withColumn(
@@ -192,12 +215,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", backgr
     # only the few paragraphs left are compared with the templates
     best = F.array_max(F.slice("p", 1, NONE))
     named = scored.withColumn("best", best).withColumn("family", F.array_position(F.slice("p", 1, NONE), F.col("best")) - 1)
-    like = reduce(lambda c, i: c.when(F.col("family") == i, _likeness(spark, F.col("grams"), i)),
-                  range(1, len(FAMILIES)), F.when(F.col("family") == 0, _likeness(spark, F.col("grams"), 0)))
-    judged = named.withColumn("likeness", like).filter(F.col("likeness") >= DOUBT)
+    likes = F.array(*[_likeness(spark, F.col("grams"), i) for i in range(len(FAMILIES))])
+    of = lambda i: F.element_at("likes", (i + 1).cast("int"))
+    sure = (F.col("best") >= need) & (F.col("likeness") >= CONFIRM)
+    judged = materialise(
+        named.withColumn("likes", likes).withColumn("likeness", of(F.col("family"))).filter(F.col("likeness") >= DOUBT)
+        .select("doc_id", "paragraph", "lines", "block", "family", "best", "likeness", "likes", sure.alias("sure")),
+        "licence-judged")
+    # what the lines of a block say, and the family that only the whole block has
+    line, together = F.col("lines") == 1, Window.partitionBy("doc_id", "block")
+    told = judged.withColumn("by_line", F.collect_set(F.when(line & F.col("sure"), F.col("family"))).over(together)) \
+        .withColumn("any_line", F.max(line).over(together)) \
+        .withColumn("by_block", F.max(F.when(~line & F.col("sure") & ~F.array_contains("by_line", F.col("family")),
+                                             F.col("family"))).over(together))
+    part = F.coalesce(of(F.col("by_block")) >= PART * F.col("likeness"), F.lit(False))
+    reported = F.when(line, ~part).when(F.col("sure"), F.col("by_block").isNotNull()).otherwise(~F.col("any_line"))
     names = F.array(*map(F.lit, FAMILIES))
-    return judged.select(
+    return told.filter(reported).select(
         "doc_id", "paragraph",
-        F.when((F.col("best") >= need) & (F.col("likeness") >= CONFIRM),
-               F.element_at(names, (F.col("family") + 1).cast("int"))).otherwise("unknown").alias("licence"),
+        F.when(F.col("sure"), F.element_at(names, (F.col("family") + 1).cast("int"))).otherwise("unknown").alias("licence"),
         F.round("best", 4).alias("probability"), F.round("likeness", 4).alias("likeness"))

@@ -1,3 +1,5 @@
+import textwrap
+
 from helpers import documents, table_rows
 
 from conftest import SF_SMALL
@@ -40,3 +42,19 @@ def test_families_variants_and_defined_cases(spark):
     assert [(r.paragraph, r.licence) for r in by_doc[at + 4]] == [(1, "mit")] * 2
     assert by_doc[None][0].licence == "all-rights-reserved"
     assert L.scan(documents(spark, [])).count() == 0
+
+
+def test_wrapped_copies_of_every_template(spark):
+    filler = "the river runs along the old road and the mill stands by its bank near a field of barley"
+    cases = [(f, t, mark) for f in L.FAMILIES for t in L.TEMPLATES[f] for mark in ("", " * ")]
+    texts = []
+    for _, t, mark in cases:
+        wrapped = textwrap.wrap(t, 72 if len(t) > 80 else len(t) * 2 // 3)
+        assert len(wrapped) > 1
+        texts.append("\n".join([filler, mark, *(mark + line for line in wrapped), mark, filler]))
+    got = L.scan(documents(spark, texts)).collect()
+    named = {(r.doc_id, r.licence) for r in got if r.licence != "unknown"}
+    assert {i for i, _ in named} >= {i for i, (f, _, _) in enumerate(cases) if f in ("gpl-3.0", "bsd-3-clause")}
+    assert len({i for i, _ in named}) >= len(cases) - 2  # one sentence may stay unknown, as when it is one line
+    assert named == {(i, cases[i][0]) for i, _ in named}
+    assert all(r.paragraph == 2 for r in got if r.licence in ("gpl-3.0", "bsd-3-clause"))
