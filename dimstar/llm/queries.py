@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, license_scan, quality_classifier, quality_rules, simhash_dedup, token_counts, token_output, url_filter, warc
+from . import (
+    byte_bpe,
+    decontamination,
+    fill_in_middle,
+    filter_audit,
+    license_scan,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+    token_counts,
+    token_output,
+    url_filter,
+    warc,
+)
 from .common import table
 
 
@@ -61,6 +74,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transformed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontamination,
@@ -73,8 +96,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_simhash_near_dedup,
         op10_warc,
+        op11_filter_audit,
+        op12_fill_in_middle,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": warc.ORACLE_SQL, "op1_decontamination": decontamination.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
+    return {"op10_warc": warc.ORACLE_SQL, "op11_filter_audit": filter_audit.ORACLE_SQL,
+            "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+            "op1_decontamination": decontamination.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}

@@ -10,7 +10,7 @@ ROOT = Path(E.__file__).resolve().parent
 
 def test_one_query_per_operator():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
