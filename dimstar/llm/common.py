@@ -60,14 +60,14 @@ def ship(spark: SparkSession) -> None:
 _MADE: list[str] = []
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage ends in files that outlive any executor, and later joins on
     the table get an exchange of their own, which AQE can split."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     _MADE.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

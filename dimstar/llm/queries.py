@@ -17,6 +17,7 @@ from . import (
     quality_classifier,
     quality_rules,
     simhash_dedup,
+    suffix_dedup,
     token_counts,
     token_output,
     url_filter,
@@ -84,6 +85,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontamination,
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_warc,
         op11_filter_audit,
         op12_fill_in_middle,
+        op13_suffix_dedup,
     )}
 
 
