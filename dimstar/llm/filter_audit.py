@@ -22,32 +22,35 @@ other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from itertools import permutations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPACE = "\\x20\\x09-\\x0D"
-_SPACES = " \t\n\x0b\f\r"
+from .common import map_arrow
+
 REPEATED = "E"
 MEASURES = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"]
 SALTS = 1024
+_UPPER = bytes(range(65, 91))
+_MARKS = b"#$%&*|"
+_CONTINUATION = bytes(range(0x80, 0xC0))
 
 
-def word_list(text: Column) -> Column:
-    """Maximal runs without ASCII white space."""
-    trimmed = F.btrim(text, F.lit(_SPACES))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+"))
+def _count(text: bytes, chars: bytes) -> int:
+    return len(text) - len(text.translate(None, chars))
 
 
-# what fails each filter, from a text and its words
-FILTERS: dict[str, Callable[[Column, Column], Column]] = {
-    "A": lambda text, words: F.size(words) < 200,
-    "B": lambda text, words: 100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
-    "C": lambda text, words: 100 * F.length(F.regexp_replace(text, "[^A-Z]+", "")) > 2 * F.length(text),
-    "D": lambda text, words: text.rlike("[#$%&*|]"),
+# what fails each filter, from a text in UTF-8 and its words
+FILTERS: dict[str, Callable[[bytes, list[bytes]], bool]] = {
+    "A": lambda text, words: len(words) < 200,
+    "B": lambda text, words: 100 * len(set(words)) < 50 * len(words),
+    "C": lambda text, words: 100 * _count(text, _UPPER) > 2 * (len(text) - _count(text, _CONTINUATION)),
+    "D": lambda text, words: _count(text, _MARKS) > 0,
 }
 
 
@@ -57,12 +60,20 @@ def failures(docs: DataFrame, filters: Mapping[str, Callable] = FILTERS, id_col:
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")).alias("part"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    # generators: the words are made once, the masks from them
-    split = base.select("doc_id", "part", "text", F.inline(F.array(F.struct(word_list(F.col("text")).alias("words")))))
-    mask = F.lit(0)
-    for i, failed in enumerate(filters.values()):
-        mask = mask + F.when(failed(F.col("text"), F.col("words")), 1 << i).otherwise(0)
-    return split.select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), mask.alias("mask"))
+    tests = list(filters.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            digests, masks = [], []
+            for cell in b.column(2).cast(pa.binary()):
+                text = cell.as_py()
+                words = text.split()  # at exactly the six ASCII white-space characters
+                digests.append(hashlib.sha256(text).digest())
+                masks.append(sum(1 << i for i, failed in enumerate(tests) if failed(text, words)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(digests, pa.binary()),
+                                              pa.array(masks, pa.int32())], ["doc_id", "part", "digest", "mask"])
+
+    return map_arrow(base, run, "doc_id bigint, part string, digest binary, mask int")
 
 
 def mask_cells(failed: DataFrame, labels: DataFrame, repeated_bit: int) -> DataFrame:
