@@ -82,14 +82,14 @@ def load_driver(spark: SparkSession, sf_dir: str, gate_limit: float | None = Non
 
 def load_csv(spark: SparkSession, folder: str, warehouse: str, cfg: RuleConfig | None = None,
              calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
-             gate_limit: float | None = REJECT_RATIO_LIMIT, multi_line: bool = False) -> DataFrame:
+             gate_limit: float | None = REJECT_RATIO_LIMIT) -> DataFrame:
     """The whole load: ``customers.csv``, ``suppliers.csv``, ``operators.csv``
     and ``requests.csv`` of ``folder`` into ``warehouse``. Malformed lines go
     to the quarantine and count for the gate. Returns one row per entity:
     ``table, n_read, n_rejected, n_inserted``."""
     good, malformed = {}, None
     for e in CSV.SCHEMAS:
-        lines = CSV.read_entity(spark, f"{folder.rstrip('/')}/{e}.csv", e, keep_corrupt=True, multi_line=multi_line)
+        lines = CSV.read_entity(spark, f"{folder.rstrip('/')}/{e}.csv", e, keep_corrupt=True)
         good[e], bad = CSV.split_corrupt(lines, e)
         malformed = bad if malformed is None else malformed.unionByName(bad)
     loaded = build(good["customers"], good["suppliers"], good["operators"], good["requests"], cfg, calendar,

@@ -107,6 +107,16 @@ def csv_quarantine(spark, sf_dir):
         .select("id", F.col(CSV.CORRUPT).alias("malformed"))
 
 
+def csv_round_trip_line_ends(spark, sf_dir):
+    """Notes with line ends, quotes and commas: records over three lines."""
+    path = scratch_path(spark, "csv-line-ends")
+    df = driver.requests_entity(spark, sf_dir)
+    notes = F.concat(F.lit('line "1", of '), F.col("id").cast("string"), F.lit("\n"), F.coalesce("notes", F.lit("")),
+                     F.lit('\r\n"end", '), F.col("status"))
+    CSV.write_entity(df.withColumn("notes", notes), path)
+    return CSV.read_entity(spark, path, "requests")
+
+
 def csv_load_report(spark, sf_dir):
     """The whole load from four CSV files into a warehouse."""
     folder = scratch_path(spark, "csv-load")
@@ -149,6 +159,9 @@ m AS (SELECT p.event_id, COUNT(v.valid_from) AS n FROM p LEFT JOIN v ON v.user_i
 SELECT CASE WHEN n = 0 THEN 'none' WHEN n = 1 THEN 'one' ELSE 'several' END AS matches, COUNT(*) AS n_probes
 FROM m GROUP BY 1""",
     "csv_round_trip_reordered": with_etl("SELECT * FROM suppliers"),
+    "csv_round_trip_line_ends": with_etl("""
+SELECT * REPLACE ('line "1", of ' || CAST(id AS VARCHAR) || chr(10) || COALESCE(notes, '') || chr(13) || chr(10)
+                  || '"end", ' || status AS notes) FROM requests"""),
     "csv_quarantine": with_etl("""
 SELECT id, CASE WHEN id % 7 = 3 THEN 'request_datetime,price' ELSE 'fields' END AS malformed
 FROM requests WHERE id % 7 IN (1, 2, 3)"""),
@@ -166,6 +179,7 @@ BUILDERS = {
     "fk_orphans_partial": fk_orphans_partial,
     "asof_match_classes": asof_match_classes,
     "csv_round_trip_reordered": csv_round_trip_reordered,
+    "csv_round_trip_line_ends": csv_round_trip_line_ends,
     "csv_quarantine": csv_quarantine,
     "csv_load_report": csv_load_report,
 }

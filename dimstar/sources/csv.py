@@ -6,16 +6,14 @@ entity does not have are ignored, a missing one fails the read. Only the empty
 field is NULL; text such as "NA" stays a value. Types are explicit, never
 inferred; zip codes and VAT numbers are text so leading zeros survive.
 
-Nothing is lost without a trace: a line with more or fewer fields than the
-header, with a value that does not have its type, or with an odd number of
-quotes is malformed. By default reading such a line fails; a load quarantines
-it instead.
-
-A file is split among tasks by lines. A quoted field with a line end then tears
-its record: the first and the last line of it have an odd number of quotes, so
-both are malformed, and so are the lines between them unless one is a complete
-row by itself, which cannot be told from a row. ``multi_line`` allows quoted
-fields with line ends; each file is then read by one task, whatever its size.
+Nothing is lost without a trace: a record with more or fewer fields than the
+header, with a value that does not have its type, or with a quoted field that
+nothing closes is malformed. By default reading such a record fails; a load
+quarantines it instead.
+
+A file is split among tasks by lines. Where no line leaves a quoted field open,
+every line is a record; where one does, ``csv_records`` puts the lines of a
+record together, with several tasks per file all the same.
 """
 
 from __future__ import annotations
@@ -24,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_records import has_quoted_line_ends, records
+
 CORRUPT = "_corrupt_record"
 
 CUSTOMERS_SCHEMA = T.StructType([
@@ -96,57 +96,69 @@ _READ_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 _RAW = "_raw_line"
-RAGGED = "fields"  # named in ``_corrupt_record`` when a line has too many or too few
-TORN = "quotes"  # named there when a line has an odd number of quotes
+RAGGED = "fields"  # named in ``_corrupt_record`` when a record has too many or too few
+TORN = "quotes"  # named there when nothing closes a quoted field
 _NO_QUOTE = "\uffff"  # not a character: lines are first read without quoting
 
 
-def _lines(reader, path: str, text: T.StructType) -> DataFrame:
-    """The columns of ``text`` and ``_torn`` of every line. The CSV source tells
-    a line's text only when it has too many or too few fields, and a field
-    that its quotes do not end looks like any other. So the source reads
-    without quoting, where a line is its fields joined by commas, and the line
-    is parsed from that."""
+def _plain_lines(reader, path: str) -> DataFrame:
+    """``line, torn`` of every line but the headers. Read without quoting a
+    line is its fields joined by commas."""
     plain = reader.option("quote", _NO_QUOTE)
     header = plain.csv(path).columns
     fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RAW]])
     read = plain.option("columnNameOfCorruptRecord", _RAW).schema(fields).csv(path).toDF(
         *[f"f{i}" for i in range(len(header))], _RAW)
     joined = F.concat_ws(",", *[F.coalesce(F.col(f"f{i}"), F.lit("")) for i in range(len(header))])
-    line = read.select(F.coalesce(_RAW, joined).alias("line"))
+    return read.select(F.coalesce(_RAW, joined).alias("line"), F.lit(False).alias("torn"))
+
+
+def _record_lines(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """``line, torn`` of every record but the headers, which must all be ``header``."""
+    read = records(spark, path).select(F.regexp_replace("line", "\r$", "").alias("line"), "torn", "header")
+    names = F.from_csv(F.regexp_replace("line", "^\ufeff", ""), ", ".join(f"c{i} string" for i in range(len(header))),
+                       _parse_options())
+    same = F.coalesce(F.concat_ws("\n", *[names[f"c{i}"] for i in range(len(header))]) == "\n".join(header), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("another header than in the first file: "), F.col("line"))).cast("boolean")
+    return read.where(F.when(~F.col("header"), F.trim("line") != "").when(same, False).otherwise(wrong)).select("line", "torn")
+
+
+def _parse_options() -> dict[str, str]:
+    """For one record's text: line ends inside quotes are kept."""
     options = {k: v for k, v in _READ_OPTIONS.items() if k not in ("header", "enforceSchema", "encoding")}
+    return options | {"multiLine": "true"}
+
+
+def _fields(lines: DataFrame, text: T.StructType) -> DataFrame:
+    """The columns of ``text`` and ``_torn`` of every line."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in text.names)
-    parsed = F.from_csv("line", schema, options | {"columnNameOfCorruptRecord": _RAW})
-    torn = F.length(F.regexp_replace("line", '[^"]+', "")) % 2 == 1
+    parsed = F.from_csv("line", schema, _parse_options() | {"columnNameOfCorruptRecord": _RAW})
     # a generator: filters on its output do not parse the line again
-    return line.select(F.inline_outer(F.array(F.struct(parsed.alias("p"), torn.alias("_torn"))))).select("p.*", "_torn")
+    return lines.select(F.inline_outer(F.array(F.struct(parsed.alias("p"), F.col("torn").alias("_torn"))))).select("p.*", "_torn")
 
 
-def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False,
-                multi_line: bool = False) -> DataFrame:
+def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool = False) -> DataFrame:
     """Read one entity CSV (file or folder; all files have the first
-    one's header) with its fixed types.
+    one's header) with its fixed types. One job looks for quoted line ends.
 
     Fields are read as text and cast with ``try_cast``; a field whose text is
     present but does not cast is malformed. With ``keep_corrupt`` the names of
-    such fields (``fields`` for a ragged line, ``quotes`` for an odd number of
-    quotes) are listed in ``_corrupt_record``, NULL when the line is clean;
-    without it a malformed line fails the query that reads it.
+    such fields (``fields`` for a ragged record, ``quotes`` for a field that
+    nothing closes) are listed in ``_corrupt_record``, NULL when the record is
+    clean; without it a malformed record fails the query that reads it.
     """
     schema = SCHEMAS[entity]
 
     def reader():
-        return spark.read.options(**_READ_OPTIONS, multiLine=str(multi_line).lower())
+        return spark.read.options(**_READ_OPTIONS)
 
     header = reader().csv(path).columns
     missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)}")
     text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RAW]])
-    if multi_line:
-        raw = reader().option("columnNameOfCorruptRecord", _RAW).schema(text).csv(path).withColumn("_torn", F.lit(False))
-    else:
-        raw = _lines(reader(), path, text)
+    several = has_quoted_line_ends(spark, path)
+    raw = _fields(_record_lines(spark, path, header) if several else _plain_lines(reader(), path), text)
     bad = [F.when(F.col(_RAW).isNotNull(), F.lit(RAGGED)), F.when(F.col("_torn"), F.lit(TORN))] + [
         F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
         for f in schema.fields if not isinstance(f.dataType, T.StringType)]
@@ -155,7 +167,7 @@ def read_entity(spark: SparkSession, path: str, entity: str, keep_corrupt: bool
                          else F.col(f.name) for f in schema.fields], F.when(names != "", names).alias(CORRUPT))
     if keep_corrupt:
         return typed
-    told = F.concat(F.lit(f"malformed line in {entity}: id "), F.coalesce(F.col("id").cast("string"), F.lit("NULL")),
+    told = F.concat(F.lit(f"malformed record in {entity}: id "), F.coalesce(F.col("id").cast("string"), F.lit("NULL")),
                     F.lit(", "), F.col(CORRUPT))
     return typed.where(F.when(F.col(CORRUPT).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True)) \
                 .drop(CORRUPT)

@@ -138,32 +138,10 @@ def test_read_entity_by_header_name_and_failing_lines(spark, tmp_path):
     assert (row.id, row.name, row.is_active) == (1, "X", 1)
     with pytest.raises(ValueError, match="category"):
         CSV.read_entity(spark, str(tmp_path / "b.csv"), "suppliers")
-    with pytest.raises(Exception, match="malformed line in suppliers: id 1, is_active"):
+    with pytest.raises(Exception, match="malformed record in suppliers: id 1, is_active"):
         CSV.read_entity(spark, str(tmp_path / "c.csv"), "suppliers").collect()
 
 
-def test_torn_records_are_malformed(spark, tmp_path):
-    import pytest
-
-    from dimstar.sources import csv as CSV
-
-    start = "1,1,1,2025-02-01 10:00:00,,booked,40,,"
-    _csv_folder(tmp_path, {
-        "torn": REQUEST + f'1,{start}"first\nsecond"\n2,{start}"he said ""x""\n\nand, so"\n'
-                + f'3,{start}"a, ""b"", c"\n4,{start}\n5,{start}plain\n',
-        "fine": REQUEST + f'3,{start}"a, ""b"", c"\n'})
-    path = str(tmp_path / "torn.csv")
-    rows = CSV.read_entity(spark, path, "requests", keep_corrupt=True).collect()
-    assert sorted((r.id, r.notes) for r in rows if r[CSV.CORRUPT] is None) == [(3, 'a, "b", c'), (4, None), (5, "plain")]
-    torn = [r for r in rows if CSV.TORN in (r[CSV.CORRUPT] or "").split(",")]
-    assert len(torn) == 4 and {r.id for r in torn if r.id is not None} == {1, 2}
-    with pytest.raises(Exception, match="malformed line in requests: id [12], quotes"):
-        CSV.read_entity(spark, path, "requests").select("id").collect()
-    assert CSV.read_entity(spark, str(tmp_path / "fine.csv"), "requests").first().notes == 'a, "b", c'
-    whole = {r.id: r.notes for r in CSV.read_entity(spark, path, "requests", multi_line=True).collect()}
-    assert whole[1] == "first\nsecond" and whole[2] == 'he said "x"\n\nand, so' and len(whole) == 5
-
-
 def test_versions_are_complete_or_unseen(spark, tmp_path):
     import pytest
 
