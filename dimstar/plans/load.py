@@ -17,7 +17,8 @@ from ..operators import validation as V
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
 from ..operators.checks import ForeignKeyViolation, enforce_fks, schema_matches
-from ..operators.fact import build_request_fact
+from ..operators.fact import asof_matches, build_request_fact
+from ..operators.intervals import overlapping
 from ..operators.states import filter_unreachable
 from ..session import cut_lineage
 from ..sources import csv as CSV
@@ -111,10 +112,32 @@ class UnresolvedVersion(RuntimeError):
     pass
 
 
+class AmbiguousVersion(RuntimeError):
+    pass
+
+
+def check_single_versions(loaded: Loaded) -> None:
+    """no request has two customer versions at its time. Only the requests
+    of personas whose versions overlap (none, if the dimension was built here)
+    are counted against them."""
+    clashing = cut_lineage(overlapping(loaded.customer_dim, "fiscal_code_hash"))
+    if clashing.isEmpty():
+        return
+    persona = loaded.validated.customers_ok.join(clashing, "fiscal_code_hash", "left_semi").select(
+        F.col("id").alias("customer_id"), "fiscal_code_hash")
+    probes = loaded.validated.requests_ok.select("id", "customer_id", "request_datetime").join(persona, "customer_id")
+    found = asof_matches(probes, loaded.customer_dim.join(clashing, "fiscal_code_hash", "left_semi"),
+                         "fiscal_code_hash", "request_datetime", "fiscal_code_hash").where("n_matches > 1")
+    told = found.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).first()
+    if told.n:
+        raise AmbiguousVersion(f"{told.n} requests have several customer versions at their time, for example {told.id}")
+
+
 def check_fact_keys(loaded: Loaded, fact: DataFrame | None = None) -> None:
     """F3 + S12 before the fact is written: every request found exactly one
-    customer version, no key is NULL, and no foreign key is orphaned. Two
-    actions, each collecting one small row per check."""
+    customer version, no key is NULL, and no foreign key is orphaned. Each
+    action collects one small row per check."""
+    check_single_versions(loaded)
     fact = loaded.fact if fact is None else fact
     keys = ("customer_key", "supplier_key", "operator_key", "date_key")
     nulls = fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in keys]).collect()[0]

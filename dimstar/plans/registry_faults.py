@@ -11,6 +11,7 @@ from ..operators import checks as C
 from ..operators import fact as FT
 from ..operators import validation as V
 from ..operators.dims import build_customer_dim_scd2, build_supplier_dim, scd2_coherence
+from ..operators.intervals import interval_join
 from ..session import scratch_path
 from ..sources import csv as CSV
 from ..sources import driver, driver_faults
@@ -66,14 +67,26 @@ def fk_orphans_partial(spark, sf_dir):
                                    ("operator_id", v.operators_ok.where("id % 11 <> 0"), "id")])
 
 
-def asof_match_classes(spark, sf_dir):
-    """F3 over overlapping intervals: a view opens an interval of as many
-    hours as its value, purchases are the probes."""
+def _views(spark, sf_dir):
+    """Overlapping intervals: a view opens one of as many hours as its value,
+    every 50th without an end."""
     e = driver.table(spark, sf_dir, "events")
-    views = e.where("event_type = 'view'").select(
-        "user_id", F.col("ts").alias("valid_from"),
+    return e.where("event_type = 'view'").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("valid_from"),
         F.when(F.col("event_id") % 50 != 0, F.expr("ts + make_dt_interval(0, cast(floor(value) AS int))")).alias("valid_to"))
-    return FT.asof_match_classes(FT.asof_matches(driver.purchases(spark, sf_dir), views, "user_id", "ts", "user_id"))
+
+
+def asof_match_classes(spark, sf_dir):
+    """F3 over overlapping intervals; purchases are the probes."""
+    return FT.asof_match_classes(FT.asof_matches(driver.purchases(spark, sf_dir), _views(spark, sf_dir),
+                                                 "user_id", "ts", "user_id"))
+
+
+def asof_all_versions(spark, sf_dir):
+    """F2 over overlapping intervals: every version that holds a probe's time;
+    probes without any have no row."""
+    pairs = interval_join(driver.purchases(spark, sf_dir), _views(spark, sf_dir), "user_id", "ts", "user_id")
+    return pairs.select("probe.event_id", "version.view_id", "version.valid_from", "version.valid_to")
 
 
 # --- CSV: reordered columns, ragged lines, bad values, and the load from files
@@ -158,6 +171,12 @@ m AS (SELECT p.event_id, COUNT(v.valid_from) AS n FROM p LEFT JOIN v ON v.user_i
       AND (v.valid_to IS NULL OR p.ts < v.valid_to) GROUP BY p.event_id)
 SELECT CASE WHEN n = 0 THEN 'none' WHEN n = 1 THEN 'one' ELSE 'several' END AS matches, COUNT(*) AS n_probes
 FROM m GROUP BY 1""",
+    "asof_all_versions": """
+WITH v AS (SELECT user_id, event_id AS view_id, ts AS valid_from,
+                  CASE WHEN event_id % 50 <> 0 THEN ts + to_hours(CAST(floor(value) AS INTEGER)) END AS valid_to
+           FROM events WHERE event_type = 'view')
+SELECT p.event_id, v.view_id, v.valid_from, v.valid_to FROM events p JOIN v ON v.user_id = p.user_id AND v.valid_from <= p.ts
+  AND (v.valid_to IS NULL OR p.ts < v.valid_to) WHERE p.event_type = 'purchase'""",
     "csv_round_trip_reordered": with_etl("SELECT * FROM suppliers"),
     "csv_round_trip_line_ends": with_etl("""
 SELECT * REPLACE ('line "1", of ' || CAST(id AS VARCHAR) || chr(10) || COALESCE(notes, '') || chr(13) || chr(10)
@@ -178,6 +197,7 @@ BUILDERS = {
     "dedup_by_hash_faults": dedup_by_hash_faults,
     "fk_orphans_partial": fk_orphans_partial,
     "asof_match_classes": asof_match_classes,
+    "asof_all_versions": asof_all_versions,
     "csv_round_trip_reordered": csv_round_trip_reordered,
     "csv_round_trip_line_ends": csv_round_trip_line_ends,
     "csv_quarantine": csv_quarantine,
