@@ -55,6 +55,7 @@ TRANSITIONS = (
 )
 INITIAL_STATE = "initial"
 TERMINAL_STATES = ("invoiced", "cancelled")
+DEFAULT_CANCEL_FROM = "booked"
 
 # Reason texts written to the quarantine table (ours, in English).
 R_DUPLICATE_ID = "duplicate_id"

@@ -1,22 +1,28 @@
 """Request state machine (M1-M6).
 
-The transition table is a handful of rows fixed by the model, so it is
-broadcast. Runs over event histories never gather a history into one task
-or one row: the machine only moves forward along an acyclic table, so the
-run is found in at most ``longest path`` rounds of "first allowed event after
-the current position" per entity, each a join with one row per entity plus a
-partial aggregation.
+The transition table is a handful of rows fixed by the model. An event is a
+function from state to state (a refused one keeps the state), and such
+functions compose: a run of events is a small array with, for every state it
+may start in, the state it ends in, how many events were accepted and the
+first that was refused. Event histories are range-partitioned on (entity,
+order) once, so a very long history lies in several partitions; each
+partition composes its runs to one array each, and only these are brought
+together per entity. No history is gathered into one task or row, and tables
+with cycles are like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.constants import INITIAL_STATE, TERMINAL_STATES, TRANSITIONS
-from ..session import cut_lineage
+from ..functions.constants import DEFAULT_CANCEL_FROM, INITIAL_STATE, TERMINAL_STATES, TRANSITIONS
 from .segmented import lag_in_group
 
 Transitions = Sequence[tuple[str, str, str]]
@@ -46,18 +52,49 @@ def reachable_states(transitions: Transitions = TRANSITIONS, initial: str = INIT
     return seen
 
 
-def validate_trajectory(target: str | None, cancel_from: str | None = None,
-                        transitions: Transitions = TRANSITIONS, initial: str = INITIAL_STATE) -> bool:
-    """M4: a path of the table leads from ``initial`` to ``target``. For a
-    ``cancelled`` target, ``cancel_from`` names the state that the path must
-    leave by its last step (``booked`` if not given)."""
-    if target is None or target == initial:
-        return False
-    if target == "cancelled":
-        before = cancel_from or "booked"
-        return before in reachable_states(transitions, initial) and any(
-            a == before and b == target for a, _, b in transitions)
-    return target in reachable_states(transitions, initial)
+def _steps_to(transitions: Transitions, initial: str) -> dict[str, int]:
+    """Steps of the shortest path from ``initial`` to each reachable state."""
+    steps, level = {initial: 0}, [initial]
+    while level:
+        level = sorted({b for a, _, b in transitions if a in level and b not in steps})
+        steps |= {b: max(steps.values()) + 1 for b in level}
+    return steps
+
+
+def _entered_from(target: str, cancel_from: str | None, transitions: Transitions, default_from: str) -> str | None:
+    """The state that the path to ``target`` leaves by its last step."""
+    before = [a for a, _, b in transitions if b == target]
+    for state in (cancel_from, default_from):
+        if state in before:
+            return state
+    return before[0] if before else None
+
+
+def validate_trajectory(target: str | None, cancel_from: str | None = None, transitions: Transitions = TRANSITIONS,
+                        initial: str = INITIAL_STATE, default_from: str = DEFAULT_CANCEL_FROM) -> bool:
+    """M4: a path of the table leads from ``initial`` to ``target``. Where the
+    target can be entered from several states, ``cancel_from`` chooses one; any
+    other value means ``default_from``."""
+    steps = _steps_to(transitions, initial)
+    return target != initial and target in steps and _entered_from(target, cancel_from, transitions, default_from) in steps
+
+
+def trajectory_columns(status: Column, cancel_from: Column, transitions: Transitions = TRANSITIONS,
+                       initial: str = INITIAL_STATE, default_from: str = DEFAULT_CANCEL_FROM) -> dict[str, Column]:
+    """M4 as columns: ``entered_from``, ``n_steps`` of the shortest path that
+    enters the status from there, and ``valid``. The table has a few states."""
+    steps, entered, length = _steps_to(transitions, initial), F.lit(None).cast("string"), F.lit(None).cast("int")
+    for target in sorted({b for _, _, b in transitions}):
+        for source in sorted({a for a, _, b in transitions if b == target}):
+            here = (status == target) & (cancel_from == source)
+            entered = F.when(here, source).otherwise(entered)
+        usual = _entered_from(target, None, transitions, default_from)
+        chosen = cancel_from.isin([a for a, _, b in transitions if b == target])
+        entered = F.when((status == target) & ~F.coalesce(chosen, F.lit(False)), usual).otherwise(entered)
+    for state, n in steps.items():
+        length = F.when(entered == state, n + 1).otherwise(length)
+    valid = F.coalesce((status != initial) & length.isNotNull(), F.lit(False))
+    return {"entered_from": entered, "n_steps": F.when(valid, length), "valid": valid}
 
 
 def reachable_flag(status: Column | str, transitions: Transitions = TRANSITIONS) -> Column:
@@ -75,20 +112,66 @@ def filter_unreachable(requests: DataFrame, status: str = "status",
                                        F.lit("unreachable_state").alias("reason")))
 
 
-def _longest_path(transitions: Transitions, initial: str) -> int:
-    graph: dict[str, list[str]] = {}
-    for a, _, b in transitions:
-        graph.setdefault(a, []).append(b)
-    memo: dict[str, int] = {}
-
-    def depth(s: str, stack: frozenset) -> int:
-        if s in stack:
-            raise ValueError("transition table has a cycle; runs need an acyclic table")
-        if s not in memo:
-            memo[s] = max((1 + depth(b, stack | {s}) for b in graph.get(s, [])), default=0)
-        return memo[s]
-
-    return depth(initial, frozenset())
+def _composed_runs(events: DataFrame, order_cols: Sequence[str], next_state: list[list[int]]) -> DataFrame:
+    """``_e, first, n, ends, accepted, refused`` of each run of one entity's
+    events in a batch of ``events`` (``_e``, the order columns, ``_code``):
+    by start state, the state at its end, the number of accepted events and
+    the order columns of the first refused one. Neighbouring runs are composed
+    in pairs until each is one, in whole arrays."""
+    k = len(next_state[0])
+    width = len(order_cols)
+    entity = events.schema["_e"].dataType
+    order = T.StructType([events.schema[c] for c in order_cols])
+    schema = T.StructType([T.StructField("_e", entity), T.StructField("first", order), T.StructField("n", T.LongType()),
+                           T.StructField("ends", T.ArrayType(T.IntegerType())),
+                           T.StructField("accepted", T.ArrayType(T.LongType())),
+                           T.StructField("refused", T.ArrayType(order))])
+    names = list(order_cols)
+
+    def compose(end, accepted, refused, run):
+        while len(run) and (run[1:] == run[:-1]).any():
+            start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+            within = np.arange(len(run)) - np.repeat(start, np.diff(np.r_[start, len(run)]))
+            left = np.flatnonzero(within % 2 == 0)
+            paired = (left + 1 < len(run)) & (np.r_[run, -1][left + 1] == run[left])
+            a, b = left[paired], left[paired] + 1
+            then = end[a]  # states in which the second half starts
+            end[a], accepted[a] = np.take_along_axis(end[b], then, 1), accepted[a] + np.take_along_axis(accepted[b], then, 1)
+            refused[a] = np.minimum(refused[a], np.take_along_axis(refused[b], then, 1))
+            end, accepted, refused, run = end[left], accepted[left], refused[left], run[left]
+        return end, accepted, refused
+
+    def run_batches(batches):
+        table = np.array(next_state)  # by event code, the last one for events that no state accepts
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            e = b.column(0)
+            other = pc.fill_null(pc.not_equal(e.slice(1), e.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+            null = e.is_null().to_numpy(zero_copy_only=False)
+            new = np.r_[True, other & ~(null[1:] & null[:-1])]
+            run = np.cumsum(new) - 1
+            code = b.column(width + 1).to_numpy(zero_copy_only=False)
+            ok = table[code] >= 0
+            end = np.where(ok, table[code], np.arange(k))
+            refused = np.where(ok, n, np.arange(n)[:, None])
+            end, accepted, refused = compose(end, ok.astype(np.int64), refused, run)
+            first = np.flatnonzero(new)
+            rows = len(first)
+            order_of = [b.column(i + 1) for i in range(width)]
+            none = refused.ravel() == n
+            at = pa.array(np.where(none, 0, refused.ravel()))
+            offsets = pa.array(np.arange(rows + 1) * k, pa.int32())
+            told = pa.StructArray.from_arrays([c.take(at) for c in order_of], names, mask=pa.array(none))
+            firsts = pa.array(first)
+            yield pa.RecordBatch.from_arrays([
+                e.take(firsts), pa.StructArray.from_arrays([c.take(firsts) for c in order_of], names),
+                pa.array(np.diff(np.r_[first, n])), pa.ListArray.from_arrays(offsets, pa.array(end.ravel().astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(accepted.ravel())), pa.ListArray.from_arrays(offsets, told),
+            ], ["_e", "first", "n", "ends", "accepted", "refused"])
+
+    return events.mapInArrow(run_batches, schema)
 
 
 def run_machine(events: DataFrame, entity: str, order_cols: Sequence[str], event_col: str,
@@ -96,47 +179,40 @@ def run_machine(events: DataFrame, entity: str, order_cols: Sequence[str], event
                 terminal: Sequence[str] = TERMINAL_STATES) -> DataFrame:
     """M2 over event histories: per entity the final state (a refused event
     keeps the state), the number of events and of accepted events, and the
-    first refused event (its order columns), plus M3 on the final state."""
-    spark = events.sparkSession
-    tt = F.broadcast(transition_table(spark, transitions)  # fixed table, a few rows
-                     .withColumnRenamed("event", "_ev").withColumnRenamed("state", "_st"))
-    pos = F.struct(*[F.col(c) for c in order_cols])
-    ev = events.select(F.col(entity).alias("_e"), pos.alias("_pos"), F.col(event_col).alias("_ev"))
-    entities = ev.select("_e").distinct()
-    frontier = entities.select("_e", F.lit(initial).alias("_st"), F.lit(None).cast(ev.schema["_pos"].dataType).alias("_p"))
-    steps = []
-    level = {initial}
-    for rnd in range(1, _longest_path(transitions, initial) + 1):
-        # only events some state of this depth accepts can be the next step
-        accepted_here = sorted({e for a, e, _ in transitions if a in level})
-        level = {b for a, _, b in transitions if a in level}
-        # null-safe: the frontier is grouped by the entity, and an equal key would
-        # keep that partitioning, which leaves AQE no exchange to split a hot entity in
-        side = frontier.withColumnRenamed("_e", "_fe")
-        cand = (ev.where(F.col("_ev").isin(accepted_here)).join(side, F.col("_e").eqNullSafe(F.col("_fe"))).drop("_fe")
-                  .where(F.col("_p").isNull() | (F.col("_pos") > F.col("_p")))
-                  .join(tt, ["_st", "_ev"]))
-        nxt = cand.groupBy("_e").agg(F.min(F.struct("_pos", "next_state")).alias("_m"))
-        # one row per entity, written out: later rounds and the result read it instead of redoing the runs
-        step = cut_lineage(nxt.select("_e", F.col("_m._pos").alias("_pos"), F.col("_m.next_state").alias("_st"),
-                                      F.lit(rnd).alias("_round")))
-        steps.append(step)
-        frontier = step.select("_e", "_st", F.col("_pos").alias("_p"))
-    accepted = steps[0]
-    for s in steps[1:]:
-        accepted = accepted.unionByName(s)
-    final = accepted.groupBy("_e").agg(F.max_by("_st", "_round").alias("_final"),
-                                      F.count(F.lit(1)).alias("n_accepted"))
-    refused = (ev.join(accepted.select("_e", "_pos"), ["_e", "_pos"], "left_anti")
-                 .groupBy("_e").agg(F.min("_pos").alias("_first_refused")))
-    counts = ev.groupBy("_e").agg(F.count(F.lit(1)).alias("n_events"))
-    out = (counts.join(final, "_e", "left").join(refused, "_e", "left")
-           .withColumn("final_state", F.coalesce(F.col("_final"), F.lit(initial)))
-           .withColumn("n_accepted", F.coalesce(F.col("n_accepted"), F.lit(0)).cast("bigint")))
-    return out.select(
-        F.col("_e").alias(entity), "final_state", is_terminal("final_state", terminal).alias("is_terminal"),
-        "n_events", "n_accepted",
-        *[F.col(f"_first_refused.{c}").alias(f"first_refused_{c}") for c in order_cols])
+    first refused event (its order columns), plus M3 on the final state.
+
+    The events are moved once. Per entity there is then one row for each
+    Arrow batch that its history lies in."""
+    states = [initial] + sorted({s for a, _, b in transitions for s in (a, b)} - {initial})
+    names = sorted({e for _, e, _ in transitions})
+    follows = {(a, e): states.index(b) for a, e, b in transitions}
+    next_state = [[follows.get((s, e), -1) for s in states] for e in names] + [[-1] * len(states)]
+    code = F.lit(len(names))
+    for i, e in enumerate(names):
+        code = F.when(F.col(event_col) == e, i).otherwise(code)
+    keys = [F.col("_e"), *[F.col(c) for c in order_cols]]
+    n = max(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ordered = (events.select(F.col(entity).alias("_e"), *order_cols, code.alias("_code"))
+               .repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    runs = _composed_runs(ordered, order_cols, next_state)
+    refused_type = runs.schema["refused"].dataType.elementType
+
+    def then(acc: Column, x: Column) -> Column:
+        by_state = lambda c: F.element_at(x[c], acc["state"] + 1)
+        return F.struct(by_state("ends").alias("state"), (acc["n"] + x["n"]).alias("n"),
+                        (acc["accepted"] + by_state("accepted")).alias("accepted"),
+                        F.coalesce(acc["refused"], by_state("refused")).alias("refused"))
+
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(0).alias("state"), zero.alias("n"), zero.alias("accepted"),
+                     F.lit(None).cast(refused_type).alias("refused"))
+    parts = F.sort_array(F.collect_list(F.struct("first", "n", "ends", "accepted", "refused")))
+    done = runs.groupBy("_e").agg(F.aggregate(parts, start, then).alias("r"))
+    final = F.element_at(F.array(*[F.lit(s) for s in states]), F.col("r.state") + 1)
+    return done.select(
+        F.col("_e").alias(entity), final.alias("final_state"), is_terminal(final, terminal).alias("is_terminal"),
+        F.col("r.n").alias("n_events"), F.col("r.accepted").alias("n_accepted"),
+        *[F.col(f"r.refused.{c}").alias(f"first_refused_{c}") for c in order_cols])
 
 
 def allowed_event_pairs(transitions: Transitions = TRANSITIONS, initial: str = INITIAL_STATE) -> list[tuple]:

@@ -42,7 +42,10 @@ operators AS (
   FROM part
 ),
 requests AS (
-  SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS customer_id, l_suppkey AS supplier_id,
+  SELECT (l_orderkey * 100 + l_linenumber) * 1000000
+           + row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                                         l_returnflag, l_linestatus, l_shipdate) AS id, l_orderkey AS customer_id, l_suppkey AS supplier_id,
          l_partkey AS operator_id, o_orderdate AS request_datetime,
          CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS completed_datetime,
          {STATUS_SQL} AS status,

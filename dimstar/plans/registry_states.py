@@ -8,19 +8,45 @@ from ..operators import states as S
 from ..operators.dims import scd2_versions
 from ..operators.fact import asof_join
 from ..sources import driver
+from .oracle_etl import with_etl
 
 EVENT_CASE = """CASE event_type WHEN 'signup' THEN 'create' WHEN 'view' THEN 'confirm'
   WHEN 'click' THEN 'complete' WHEN 'purchase' THEN 'invoice' WHEN 'error' THEN 'cancel' END"""
 
-TRANSITIONS_VALUES = """(VALUES ('initial', 'create', 'booked'), ('booked', 'confirm', 'confirmed'),
-  ('confirmed', 'complete', 'completed'), ('completed', 'invoice', 'invoiced'),
-  ('booked', 'cancel', 'cancelled'), ('confirmed', 'cancel', 'cancelled')) AS tr(state, ev, nxt)"""
+def _values(transitions) -> str:
+    return "(VALUES " + ", ".join(str(t) for t in transitions) + ") AS tr(state, ev, nxt)"
+
+
+TRANSITIONS_VALUES = _values(S.TRANSITIONS)
+
+# requests that can be taken up again: every state but the initial one is on a cycle
+REOPENING = (
+    ("initial", "create", "booked"), ("booked", "confirm", "confirmed"), ("confirmed", "cancel", "booked"),
+    ("booked", "cancel", "cancelled"), ("cancelled", "create", "booked"), ("confirmed", "complete", "completed"),
+    ("completed", "invoice", "invoiced"), ("invoiced", "create", "booked"), ("invoiced", "invoice", "invoiced"),
+)
 
 
 def state_final(spark, sf_dir):
     return S.run_machine(driver.request_events(spark, sf_dir), "user_id", ["ts", "event_id"], "event")
 
 
+def state_final_cyclic(spark, sf_dir):
+    """M2 over a table with cycles and without terminal states."""
+    return S.run_machine(driver.request_events(spark, sf_dir), "user_id", ["ts", "event_id"], "event", REOPENING, terminal=())
+
+
+CANCEL_FROM = ("confirmed", "booked", "completed", "invoiced", "initial", "elsewhere", None)
+
+
+def state_trajectories(spark, sf_dir):
+    """M4: each request's status with a state that it is said to be cancelled from."""
+    named = F.try_element_at(F.array(*[F.lit(x) for x in CANCEL_FROM]), (F.col("id") % len(CANCEL_FROM) + 1).cast("int"))
+    r = driver.requests_entity(spark, sf_dir).select("status", named.alias("cancel_from"))
+    groups = r.groupBy("status", "cancel_from").agg(F.count(F.lit(1)).alias("n_requests"))
+    return groups.select("*", *[c.alias(n) for n, c in S.trajectory_columns(F.col("status"), F.col("cancel_from")).items()])
+
+
 def state_step_matrix(spark, sf_dir):
     return S.step_matrix(driver.request_events(spark, sf_dir), "user_id", ["ts", "event_id"], "event")
 
@@ -44,13 +70,13 @@ def asof_purchase(spark, sf_dir):
                      version_order=["signup_event_id"])
 
 
-SQL = {
-    "state_final": f"""
+def _final_sql(transitions, terminal: str) -> str:
+    return f"""
 WITH RECURSIVE ev AS (
   SELECT user_id, ts, event_id, {EVENT_CASE} AS ev,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
   FROM events
-), tr AS (SELECT * FROM {TRANSITIONS_VALUES}),
+), tr AS (SELECT * FROM {_values(transitions)}),
 run AS (
   SELECT user_id, CAST(0 AS BIGINT) AS rn, 'initial' AS state, CAST(NULL AS BOOLEAN) AS accepted
   FROM (SELECT DISTINCT user_id FROM ev) u
@@ -65,9 +91,26 @@ run AS (
          MIN(r.rn) FILTER (WHERE r.rn > 0 AND NOT r.accepted) AS first_bad
   FROM run r GROUP BY r.user_id
 )
-SELECT p.user_id, p.final_state, p.final_state IN ('invoiced', 'cancelled') AS is_terminal,
+SELECT p.user_id, p.final_state, {terminal} AS is_terminal,
        p.n_events, p.n_accepted, e.ts AS first_refused_ts, e.event_id AS first_refused_event_id
-FROM per p LEFT JOIN ev e ON e.user_id = p.user_id AND e.rn = p.first_bad""",
+FROM per p LEFT JOIN ev e ON e.user_id = p.user_id AND e.rn = p.first_bad"""
+
+
+SQL = {
+    "state_final": _final_sql(S.TRANSITIONS, "p.final_state IN ('invoiced', 'cancelled')"),
+    "state_final_cyclic": _final_sql(REOPENING, "FALSE"),
+    "state_trajectories": with_etl(f"""
+SELECT e.status, cancel_from, n_requests, entered_from, CAST(n + 1 AS INT) AS n_steps, n IS NOT NULL AS valid
+FROM (SELECT g.*, CASE WHEN EXISTS (SELECT 1 FROM {TRANSITIONS_VALUES} WHERE nxt = status AND state = cancel_from) THEN cancel_from
+             WHEN EXISTS (SELECT 1 FROM {TRANSITIONS_VALUES} WHERE nxt = status AND state = 'booked') THEN 'booked'
+             ELSE (SELECT MIN(state) FROM {TRANSITIONS_VALUES} WHERE nxt = status) END AS entered_from
+      FROM (SELECT status, CASE id % 7 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'booked' WHEN 2 THEN 'completed'
+                   WHEN 3 THEN 'invoiced' WHEN 4 THEN 'initial' WHEN 5 THEN 'elsewhere' END AS cancel_from,
+                   COUNT(*) AS n_requests FROM requests GROUP BY ALL) g) e
+LEFT JOIN (WITH RECURSIVE walk AS (
+    SELECT 'initial' AS state, 0 AS n UNION ALL
+    SELECT tr.nxt, n + 1 FROM walk JOIN {TRANSITIONS_VALUES} ON tr.state = walk.state)
+  SELECT state, MIN(n) AS n FROM walk GROUP BY state) steps ON steps.state = entered_from"""),
     "state_step_matrix": f"""
 WITH ev AS (
   SELECT {EVENT_CASE} AS event,
@@ -113,6 +156,8 @@ WHERE p.event_type = 'purchase'""",
 
 BUILDERS = {
     "state_final": state_final,
+    "state_final_cyclic": state_final_cyclic,
+    "state_trajectories": state_trajectories,
     "state_step_matrix": state_step_matrix,
     "state_reachable": state_reachable,
     "scd2_signup_versions": scd2_signup_versions,

@@ -6,7 +6,8 @@ The same derivation is written once more as SQL text in
 
 Mapping (ours):
 
-* request  = one ``lineitem`` row with its ``orders`` row; request time =
+* request  = one ``lineitem`` row with its ``orders`` row, under an id of its
+  own (order, line and the line's number among equal ones); request time =
   ``o_orderdate``; status from (returnflag, linestatus): R -> cancelled,
   A/F -> invoiced, N/F -> completed, N/O -> confirmed, A/O -> booked.
 * customer version = one ``orders`` row; persona = ``o_custkey``; the latest
@@ -20,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_key
@@ -252,8 +253,13 @@ def requests_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     fulfilled = F.col("l_linestatus") == "F"
+    # (order, line) repeats in the tables: the whole row tells its lines apart,
+    # and equal rows are interchangeable. The join's partitioning serves the window too.
+    line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        "l_shipdate")
     return j.select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+        ((F.col("l_orderkey") * 100 + F.col("l_linenumber")) * 1_000_000 + F.row_number().over(line)).alias("id"),
         F.col("l_orderkey").alias("customer_id"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_partkey").alias("operator_id"),

@@ -52,10 +52,57 @@ def test_step_matrix(spark):
                    ("confirm", "cancel"): (1, True), ("create", "complete"): (1, False)}
 
 
-def test_cyclic_table_is_refused(spark):
-    ev = _events(spark, {"a": ["x"]})
-    with pytest.raises(ValueError):
-        S.run_machine(ev, "entity", ["ts"], "event", transitions=[("initial", "x", "s"), ("s", "y", "initial")])
+def test_cancel_from_is_the_reference_rule():
+    """'confirmed' goes through confirmed, any other value cancels from booked."""
+    for other in ("completed", "invoiced", "initial", "booked", "elsewhere", "cancelled", None):
+        assert S.validate_trajectory("cancelled", other)
+        assert S._entered_from("cancelled", other, S.TRANSITIONS, "booked") == "booked"
+    assert S._entered_from("cancelled", "confirmed", S.TRANSITIONS, "booked") == "confirmed"
+    lost = [("initial", "go", "a"), ("b", "stop", "end")]
+    assert not S.validate_trajectory("end", transitions=lost) and S.validate_trajectory("a", transitions=lost)
+
+
+CYCLIC = [("initial", "create", "a"), ("a", "confirm", "b"), ("b", "cancel", "a"), ("b", "create", "b"), ("b", "invoice", "initial")]
+
+
+def test_cyclic_table(spark):
+    ev = _events(spark, {"a": ["create", "confirm", "cancel", "confirm", "invoice", "cancel", "create"], "b": ["confirm", "confirm"]})
+    out = {r.entity: r for r in S.run_machine(ev, "entity", ["ts", "event_id"], "event", CYCLIC, terminal=()).collect()}
+    assert (out["a"].final_state, out["a"].n_accepted, out["a"].first_refused_event_id) == ("a", 6, 5)
+    assert (out["b"].final_state, out["b"].n_accepted, out["b"].first_refused_event_id) == ("initial", 0, 7)
+
+
+def test_runs_move_the_events_once(spark):
+    ev = _events(spark, {"a": ["create"], "b": ["confirm"]})
+    plan = S.run_machine(ev, "entity", ["ts", "event_id"], "event")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+@pytest.mark.parametrize("table", [S.TRANSITIONS, CYCLIC])
+def test_runs_across_batches_and_partitions(spark, batch, table):
+    """A hot entity with a third of the events, entities and events that are NULL."""
+    import random
+
+    rnd = random.Random(batch)
+    names = ["create", "confirm", "complete", "invoice", "cancel", "noise", None]
+    rows = [(rnd.choice(["hot", "hot", "x", "y", "z", None]), T(2025, 1, 1) + dt.timedelta(seconds=rnd.randrange(10**6)), i, rnd.choice(names))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "entity string, ts timestamp_ntz, event_id int, event string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = {r.entity: (r.final_state, r.n_accepted, r.first_refused_event_id, r.n_events)
+               for r in S.run_machine(df, "entity", ["ts", "event_id"], "event", table).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ordered = {}
+    for ent, _, i, ev in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        ordered.setdefault(ent, []).append((i, ev))
+    assert got == {ent: (*_fold(evs, table), len(evs)) for ent, evs in ordered.items()}
+
+
+def test_empty_history(spark):
+    assert S.run_machine(_events(spark, {"a": ["create"]}).limit(0), "entity", ["ts"], "event").collect() == []
 
 
 def _fold(events, transitions=S.TRANSITIONS):
