@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import CALENDAR_END, CALENDAR_START, REJECT_RATIO_LIMIT
 from ..model import WAREHOUSE_SCHEMAS, Star
 from ..operators import validation as V
+from ..operators.aggregates import Aggregates, build_measures, build_persona_bitmaps
 from ..operators.dims import (build_customer_dim_scd2, build_operator_dim, build_supplier_dim,
                               build_time_dim, calendar_days)
 from ..operators.checks import ForeignKeyViolation, enforce_fks, schema_matches
@@ -225,6 +226,30 @@ def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     return complete_versions(spark, path)
 
 
+def write_aggregates(star: Star, base: str, period: tuple[dt.date, dt.date]) -> None:
+    """The stored aggregates of ``star`` over ``period``, under the version
+    folder ``base``, by month so that a period prunes folders. Its last write
+    is the marker with the period."""
+    month = (F.col("date_key") / 100).cast("int").alias("date_month")
+    build_measures(star, period).select("*", month).repartitionByRange("date_key", "supplier_key") \
+        .write.mode("errorifexists").partitionBy("date_month").parquet(f"{base}/agg_measures")
+    build_persona_bitmaps(star, period).repartitionByRange("level", "date_key", "bucket") \
+        .write.mode("errorifexists").partitionBy("level").parquet(f"{base}/agg_personas")
+    star.fact.sparkSession.createDataFrame([tuple(d.isoformat() for d in period)], "first string, last string") \
+        .coalesce(1).write.mode("errorifexists").json(f"{base}/agg_complete")
+
+
+def read_aggregates(spark: SparkSession, base: str) -> Aggregates | None:
+    """The aggregates of a version folder; None if it has none (or not all)."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/agg_complete/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return None
+    row = spark.read.schema("first string, last string").json(f"{base}/agg_complete").first()
+    return Aggregates(spark.read.parquet(f"{base}/agg_measures"), spark.read.parquet(f"{base}/agg_personas"),
+                      spark.read.parquet(f"{base}/supplier_dim"),
+                      (dt.date.fromisoformat(row["first"]), dt.date.fromisoformat(row["last"])))
+
+
 class ContractViolation(RuntimeError):
     pass
 

@@ -80,12 +80,13 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         out[name] = (partial(_kpi_builder, fn, period, prov, cat),
                      oracle_star.kpi_sql(fn, period[0], period[1], prov, cat))
     out["trend_auto"] = (_trend_auto, oracle_star.kpi_sql("trend_weekly", *FULL))
-    from . import registry_checks, registry_etl, registry_faults, registry_io, registry_states
+    from . import registry_aggregates, registry_checks, registry_etl, registry_faults, registry_io, registry_states
     out.update(registry_etl.entries())
     out.update(registry_states.entries())
     out.update(registry_checks.entries())
     out.update(registry_io.entries())
     out.update(registry_faults.entries())
+    out.update(registry_aggregates.entries())
     return out
 
 
