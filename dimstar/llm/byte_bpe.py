@@ -40,7 +40,7 @@ from .common import map_arrow
 # Unicode White_Space, which is what \s means in the pattern
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000  # chunks, and pieces, of each generation
 PAIR_ENTRIES = 250_000
 
 
@@ -242,29 +242,51 @@ class TokenizedText:
         return [t for table in self.tables for t in table.tokens()]
 
 
+class Recent:
+    """A bounded cache in two generations: what is asked for again moves to the
+    young one, and a full young generation takes the old one's place."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that are not here; the others become young."""
+        rest = keys.difference(self.young)
+        again = self.old.keys() & rest
+        for k in again:
+            self.young[k] = self.old.pop(k)
+        return rest - again
+
+    def trim(self) -> None:
+        if len(self.young) > self.entries:
+            self.young, self.old = {}, self.young
+
+
 class Encoder:
-    """Texts to ids (little-endian unsigned 32-bit integers) and back, with a
-    bounded cache of encoded chunks."""
+    """Texts to ids (little-endian unsigned 32-bit integers) and back, with
+    bounded caches of encoded chunks and of the pieces that chunks share."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.chunks: dict[str, bytes] = {}
+        self.chunks, self.known_pieces = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [x for group in _groups(texts) for x in self._encode(group)]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [_CHUNK.findall(t) for t in texts]
-        new = set().union(*split).difference(self.chunks)
-        known = self.chunks
-        if len(known) + len(new) > CACHE_ENTRIES:
-            wanted = set().union(*split)
-            known = self.chunks = {c: x for c, x in known.items() if c in wanted}
+        new = self.chunks.missing(set().union(*split))
         pieces = {c: self.vocabulary.pieces(c) for c in new}
-        ids = self._pieces(set().union(*pieces.values()))
+        several = self.known_pieces.missing(set().union(*pieces.values()))
+        ids = self.known_pieces.young
+        ids |= self._pieces(several)
+        known = self.chunks.young
         for c, found in pieces.items():
-            known[c] = b"".join([ids[p] for p in found])
-        return [b"".join([known[c] for c in x]) for x in split]
+            known[c] = ids[found[0]] if len(found) == 1 else b"".join([ids[p] for p in found])
+        out = [b"".join([known[c] for c in x]) for x in split]
+        self.chunks.trim()
+        self.known_pieces.trim()
+        return out
 
     def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
         """In sorted order a piece keeps the entries that it shares with the
