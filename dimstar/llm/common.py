@@ -121,6 +121,13 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(small_side(ids), key, "left_anti")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def hashed_share(keys: list, wanted: int, total: int):
     """Condition that holds for a share of the keys, by their hash, so that
     about ``wanted`` of ``total`` rows pass. Unlike an ordered limit it needs

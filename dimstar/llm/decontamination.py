@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_side, without_ids
+from .common import materialise, small_side, unused_name, without_ids
 
 MASKS = ("1000011111", "111010011", "1110111")
 WINDOW = 13
@@ -160,10 +160,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **parameters) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark passage."""
+    """The rows of ``docs`` that hold no benchmark passage. Where a found id is
+    on several rows, each of them is judged by its own text."""
     found = contaminated(docs, benchmark, id_col, text_col, **parameters)
-    return without_ids(docs, materialise(found.select(F.col("doc_id").alias(id_col)).distinct(), "decontam-ids"),
-                       id_col)
+    ids = materialise(found.select(F.col("doc_id").alias(id_col)).distinct(), "decontam-ids")
+    clean = without_ids(docs, ids, id_col)
+    several = materialise(docs.select(id_col).join(small_side(ids), id_col, "left_semi").groupBy(id_col).count()
+                          .filter("count > 1").select(id_col), "decontam-several")
+    if several.isEmpty():
+        return clean
+    row = unused_name(docs, "row")
+    again = docs.join(small_side(several), id_col, "left_semi").withColumn(row, F.xxhash64(id_col, text_col))
+    texts = again.select(F.col(row).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    bad = contaminated(texts, benchmark, **parameters).select(F.col("doc_id").alias(row)).distinct()
+    return clean.unionByName(without_ids(again, materialise(bad, "decontam-rows"), row).drop(row))
 
 
 # Any 13 aligned tokens with at most two substitutions hold four equal tokens

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, materialise, without_ids
+from .common import map_arrow, materialise, small_side, unused_name, without_ids
 from .components import connected_components
 
 SEED = 42
@@ -157,6 +157,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fp, component_id) per row; ``component_id`` is the smallest id
     reachable over links of at most ``max_bits`` differing bits."""
     prints = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    return prints.join(_components(prints, max_bits, max_bucket), "fp").select("doc_id", "fp", "component_id")
+
+
+def _components(prints: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
+    """(fp, component_id, component) per fingerprint; ``component`` is one
+    fingerprint of the component, the same for all of it."""
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     edges = links(classes.select("fp"), max_bits, max_bucket)
     # a node is ordered by its smallest id, so a component's root carries the answer;
@@ -166,26 +172,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = (edges.join(classes.alias("x"), F.col("a") == F.col("x.fp"))
              .join(classes.alias("y"), F.col("b") == F.col("y.fp"))
              .select(node("x").alias("u"), node("y").alias("v")))
-    roots = connected_components(named).select(F.col("node.fp").alias("fp"), F.col("root.least").alias("root"))
-    of_class = materialise(
-        classes.join(roots, "fp", "left").select("fp", F.coalesce("root", "least").alias("component_id")),
-        "simhash-components")
-    return prints.join(of_class, "fp").select("doc_id", "fp", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         **parameters) -> DataFrame:
-    """One document of each component: the one with its smallest id. Of rows
-    that repeat that id one stays; rows without an id all stay."""
-    found = materialise(near_duplicates(docs, id_col, text_col, **parameters), "simhash-found")
-    rest = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = found.filter(F.col("doc_id") == F.col("component_id"))
-    repeated = materialise(kept.groupBy(F.col("doc_id").alias(id_col)).count().filter("count > 1").select(id_col),
-                           "simhash-repeated")
-    # an id on two different texts may be both: the row that is the smallest of its component stays
-    gone = materialise(rest.join(kept.select(F.col("doc_id").alias(id_col)), id_col, "left_anti"), "simhash-gone")
-    left = without_ids(docs, gone, id_col)
+    roots = connected_components(named).select(F.col("node.fp").alias("fp"), F.col("root.least").alias("root"),
+                                               F.col("root.fp").alias("root_fp"))
+    return materialise(
+        classes.join(roots, "fp", "left").select("fp", F.coalesce("root", "least").alias("component_id"),
+                                                 F.coalesce("root_fp", "fp").alias("component")), "simhash-components")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                         max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of each component: the one with its smallest id, of several rows
+    with that id the one with the smallest fingerprint, then row hash. Rows
+    without an id all stay. An id that several rows have decides nothing by
+    itself: each of its rows is judged by its own text."""
+    prints = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    parts = _components(prints, max_bits, max_bucket)
+    found = materialise(prints.join(parts, "fp"), "simhash-found")
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col))
+    repeated = materialise(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count()
+                           .filter("count > 1").select(id_col), "simhash-repeated")
     if repeated.isEmpty():
-        return left
-    again = left.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return without_ids(left, repeated, id_col).unionByName(again)
+        return without_ids(docs, materialise(gone, "simhash-gone"), id_col)
+    single = without_ids(docs, materialise(gone.unionByName(repeated).distinct(), "simhash-gone"), id_col)
+    row = unused_name(docs, "row")
+    again = docs.join(small_side(repeated), id_col, "left_semi").withColumn(
+        row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    own = fingerprints(again.withColumn(id_col, F.struct(F.col(f"`{id_col}`").alias("i"), F.col(row).alias("r"))),
+                       id_col, text_col, shingle).join(parts, "fp")
+    first = F.min(F.struct("fp", "doc_id.r")).getField("r").alias(row)
+    kept = materialise(own.filter(F.col("doc_id.i") == F.col("component_id")).groupBy("component").agg(first)
+                       .select(row).distinct(), "simhash-kept")
+    return single.unionByName(again.join(small_side(kept), row, "left_semi").dropDuplicates([row]).drop(row))

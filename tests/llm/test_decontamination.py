@@ -118,3 +118,14 @@ def test_substituted_copy_is_found(spark, changed):
     found = D.contaminated(documents(spark, [" ".join(["a"] * 5 + copy + ["b"] * 5)]),
                            spark.createDataFrame([(7, " ".join(passage))], ITEMS))
     assert [tuple(r) for r in found.collect()] == [(0, 7, 5, 13, 13 - len(changed))]
+
+
+def test_one_id_on_several_texts(spark):
+    """A clean text stays though a contaminated one has its id, in any order."""
+    item = " ".join(f"bench{k}" for k in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(5, "before " + item + " after"), (5, "a clean text"), (6, item), (7, "clean too"), (8, item), (8, "x " + item), (None, item)]
+    for order in (rows, rows[::-1]):
+        for clash in (False, True):
+            kept = D.drop_contaminated(documents(spark, order, clash=clash), items)
+            assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("5", "a clean text"), ("7", "clean too"), ("None", item)]

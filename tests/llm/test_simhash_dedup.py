@@ -108,6 +108,20 @@ def test_defined_cases(spark):
     assert S.drop_near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_one_id_on_several_texts(spark):
+    """Each row is judged by its own text, whatever the order of the rows."""
+    a, b, c = ("".join(f"{w}{k} " for k in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, a), (1, b),                 # unrelated texts: both stay
+            (2, c), (3, c), (3, "other words here altogether"),  # a copy under a shared id goes, its namesake stays
+            (5, "x y z"), (5, "x y z"), (6, "x y z")]           # equal rows: one stays
+    for order in (rows, rows[::-1]):
+        for clash in (False, True):
+            kept = S.drop_near_duplicates(documents(spark, order, clash=clash).repartition(3))
+            assert kept.columns == documents(spark, [], clash=clash).columns
+            assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+                [(1, a), (1, b), (2, c), (3, "other words here altogether"), (5, "x y z")])
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)]
