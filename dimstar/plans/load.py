@@ -25,6 +25,7 @@ from ..session import cut_lineage
 from ..sources import csv as CSV
 from ..sources import driver
 from ..sources.driver import RuleConfig
+from .versions import DONE, complete_versions, current_version, prune_versions, read_fact, write_fact  # noqa: F401
 
 
 @dataclass(frozen=True)
@@ -97,11 +98,11 @@ def load_csv(spark: SparkSession, folder: str, warehouse: str, cfg: RuleConfig |
     loaded = build(good["customers"], good["suppliers"], good["operators"], good["requests"], cfg, calendar,
                    gate_limit, malformed)
     report = cut_lineage(loaded.summary)  # before the write releases the rule results
-    written = write_warehouse(loaded, warehouse)
-    inserted = None
-    for table, stored in (("customers", "customer_dim"), ("suppliers", "supplier_dim"), ("operators", "operator_dim"),
-                          ("requests", "request_fact")):
-        n = spark.read.parquet(written[stored]).select(F.lit(table).alias("table"))
+    write_warehouse(loaded, warehouse)
+    star, inserted = read_warehouse(spark, warehouse), None
+    for table, stored in (("customers", star.customer_dim), ("suppliers", star.supplier_dim),
+                          ("operators", star.operator_dim), ("requests", star.fact)):
+        n = stored.select(F.lit(table).alias("table"))
         inserted = n if inserted is None else inserted.unionByName(n)
     counts = inserted.groupBy("table").agg(F.count(F.lit(1)).alias("n_inserted"))
     return report.join(counts, "table", "left").select(
@@ -152,9 +153,6 @@ def check_fact_keys(loaded: Loaded, fact: DataFrame | None = None) -> None:
                        ("date_key", loaded.time_dim, "date_key")])
 
 
-DONE = "_complete"
-
-
 def write_warehouse(loaded: Loaded, path: str, check: bool = True,
                     max_records_per_file: int = 5_000_000) -> dict[str, str]:
     """A full rebuild into a new version folder under ``path``; its
@@ -162,9 +160,9 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     complete version: there is no moment without one, and a rebuild that is
     lost half-way is never seen. Readers that already hold the previous
     version keep reading it until ``prune_versions``; a rebuild from the same
-    input gives the same tables.
+    input gives the same tables, and writes no month of the fact again.
 
-    Dimensions are written first, then the fact, partitioned by month and
+    Dimensions are written first, then the months of the fact that changed,
     sorted by ``date_key`` inside the files (Parquet min/max statistics prune
     periods). The fact is range-partitioned on ``(date_key, request_id)``, so
     a month or even one hot day is written by several tasks, each writing a
@@ -174,58 +172,32 @@ def write_warehouse(loaded: Loaded, path: str, check: bool = True,
     import uuid
 
     spark = loaded.fact.sparkSession
-    # the fact feeds the key checks and the write: keep it for their duration
+    # the fact feeds the key checks, the digests and the write: keep it for their duration
     kept = loaded.fact.persist(StorageLevel.MEMORY_AND_DISK)
-    check_contract(loaded)
-    if check:
-        check_fact_keys(loaded, kept)
-    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    base = f"{path.rstrip('/')}/v={version}"
-    out = {}
-    for name, df in (("time_dim", loaded.time_dim), ("customer_dim", loaded.customer_dim),
-                     ("supplier_dim", loaded.supplier_dim), ("operator_dim", loaded.operator_dim)):
-        df.write.mode("errorifexists").parquet(f"{base}/{name}")
-        out[name] = f"{base}/{name}"
-    fact = kept.withColumn("date_month", (F.col("date_key") / 100).cast("int"))
-    (fact.repartitionByRange("date_key", "request_id").sortWithinPartitions("date_key", "request_id")
-         .write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
-         .partitionBy("date_month").parquet(f"{base}/request_fact"))
-    out["request_fact"] = f"{base}/request_fact"
-    loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
-    out["quarantine"] = f"{base}/quarantine"
-    kept.unpersist(blocking=False)
-    loaded.validated.release()
+    try:
+        check_contract(loaded)
+        if check:
+            check_fact_keys(loaded, kept)
+        version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+        base = f"{path.rstrip('/')}/v={version}"
+        out = {}
+        for name, df in (("time_dim", loaded.time_dim), ("customer_dim", loaded.customer_dim),
+                         ("supplier_dim", loaded.supplier_dim), ("operator_dim", loaded.operator_dim)):
+            df.write.mode("errorifexists").parquet(f"{base}/{name}")
+            out[name] = f"{base}/{name}"
+        write_fact(kept.withColumn("date_month", (F.col("date_key") / 100).cast("int")), path, base, max_records_per_file)
+        out["request_fact"] = f"{base}/fact_manifest"
+        loaded.validated.quarantine.write.mode("errorifexists").parquet(f"{base}/quarantine")
+        out["quarantine"] = f"{base}/quarantine"
+    finally:
+        kept.unpersist(blocking=False)
+        loaded.validated.release()
     # the marker: whether the keys were verified; Spark adds _SUCCESS last
     spark.createDataFrame([("true" if check else "false",)], "fk_checked string") \
          .coalesce(1).write.mode("errorifexists").json(f"{base}/{DONE}")
     return out
 
 
-def complete_versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of the complete versions, oldest first."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v=*/{DONE}/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(f.getPath().getParent().getParent().toString() for f in (found or []))
-
-
-def current_version(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """The newest complete version's folder and whether its keys were verified."""
-    versions = complete_versions(spark, path)
-    if not versions:
-        raise FileNotFoundError(f"no complete version in {path}")
-    row = spark.read.schema("fk_checked string").json(f"{versions[-1]}/{DONE}").first()
-    return versions[-1], row["fk_checked"] == "true"
-
-
-def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete all complete versions but the ``keep`` newest; returns what is left."""
-    versions = complete_versions(spark, path)
-    for v in versions[:-keep] if keep else versions:
-        old = spark._jvm.org.apache.hadoop.fs.Path(v)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    return complete_versions(spark, path)
-
-
 def write_aggregates(star: Star, base: str, period: tuple[dt.date, dt.date]) -> None:
     """The stored aggregates of ``star`` over ``period``, under the version
     folder ``base``, by month so that a period prunes folders. Its last write
@@ -266,7 +238,7 @@ def read_warehouse(spark: SparkSession, path: str, calendar: tuple[dt.date, dt.d
     """The current version of the star back from Parquet; ``date_month``
     stays a partition column so K0's period predicate prunes directories."""
     base, checked = current_version(spark, path)
-    fact = spark.read.parquet(f"{base}/request_fact")
+    fact = read_fact(spark, path, base, WAREHOUSE_SCHEMAS["request_fact"])
     return Star(fact, spark.read.parquet(f"{base}/time_dim"), spark.read.parquet(f"{base}/customer_dim"),
                 spark.read.parquet(f"{base}/supplier_dim"), spark.read.parquet(f"{base}/operator_dim"),
                 calendar_days(*calendar) if calendar else None, fk_checked=checked)
