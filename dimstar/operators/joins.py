@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
+
 # Narrow sides only (a key and one or two values): 1M rows stay well under 64 MB.
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -27,7 +28,7 @@ def measured(smalls: list[DataFrame], max_rows: int | None = None,
     ``max_rows``, unchanged otherwise. The persisted frames are appended to
     ``kept`` so the caller can release them."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    smalls = [s.persist(StorageLevel.MEMORY_AND_DISK) for s in smalls]
+    smalls = [keep(s) for s in smalls]
     if kept is not None:
         kept.extend(smalls)
     tagged = reduce(DataFrame.unionByName,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..model import KpiParams
 from ..operators import kpis
+from ..session import kept_with
 from ..sources.driver import driver_star
 from . import oracle_star
 
@@ -91,7 +92,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
 
 
 def queries() -> dict[str, Builder]:
-    return {k: v[0] for k, v in _queries().items()}
+    return {k: kept_with(v[0]) for k, v in _queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:

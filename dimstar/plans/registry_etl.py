@@ -28,6 +28,17 @@ def reject_gate(spark, sf_dir):
     return V.validation_summary(v.totals, v.quarantine)
 
 
+def reject_gate_edge(spark, sf_dir):
+    """V29 on tables that pass: suppliers under the limit, operators exactly at it."""
+    suppliers = driver.suppliers_entity(spark, sf_dir).withColumn(
+        "is_active", F.when(F.col("id") % 25 != 0, F.col("is_active")))
+    operators = driver.operators_entity(spark, sf_dir).withColumn(
+        "status", F.when(F.col("id") % 20 == 0, F.lit("retired")).otherwise(F.col("status")))
+    v = V.validate_all(driver.customers_entity(spark, sf_dir), suppliers, operators,
+                       driver.requests_entity(spark, sf_dir), driver.accepting_rules())
+    return V.validation_summary(v.totals, v.quarantine)
+
+
 def valid_requests(spark, sf_dir):
     return validated_driver(spark, sf_dir).requests_ok
 
@@ -118,6 +129,13 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1""", dims=True),
 }
 
+SQL["reject_gate_edge"] = (
+    SQL["reject_gate"].replace("'AMERICA', 'ASIA', 'EUROPE')", "'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')")
+    .replace("'SMALL', 'STANDARD')", "'SMALL', 'STANDARD', 'PROMO')")
+    .replace("CASE WHEN s_acctbal >= 0 THEN 1 ELSE 0 END AS is_active",
+             "CASE WHEN s_suppkey % 25 = 0 THEN NULL WHEN s_acctbal >= 0 THEN 1 ELSE 0 END AS is_active")
+    .replace("'active' AS status\n  FROM part", "CASE WHEN p_partkey % 20 = 0 THEN 'retired' ELSE 'active' END AS status\n  FROM part"))
+
 BUILDERS = {
     "rules_customers": _rules("customers"),
     "rules_suppliers": _rules("suppliers"),
@@ -125,6 +143,7 @@ BUILDERS = {
     "rules_requests": _rules("requests"),
     "reject_profile": reject_profile,
     "reject_gate": reject_gate,
+    "reject_gate_edge": reject_gate_edge,
     "valid_requests": valid_requests,
     "customer_dim": customer_dim,
     "supplier_dim": supplier_dim,

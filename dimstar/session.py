@@ -10,7 +10,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
+from collections.abc import Callable
+from functools import wraps
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
@@ -23,6 +27,8 @@ _LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints that no frame refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,6 +71,44 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that several parts of a result read, until the result
+    it was made for is released (``kept_with``) or it is unpersisted by hand."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df)
+    return df
+
+
+def _release(frames: list[DataFrame]) -> None:
+    for df in frames:
+        if df.sparkSession.sparkContext._jsc is not None:  # the session still runs
+            df.unpersist(blocking=False)
+
+
+def kept_with(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``build``, with the frames that it keeps released when nobody holds the
+    result any more. Frames derived from the result stay right: they would
+    compute a released frame again."""
+    @wraps(build)
+    def run(*args, **kwargs) -> DataFrame:
+        start = len(_KEPT)
+        try:
+            result = build(*args, **kwargs)
+        except BaseException:
+            _release(_KEPT[start:])
+            raise
+        else:
+            if _KEPT[start:]:
+                weakref.finalize(result, _release, _KEPT[start:]).atexit = False
+        finally:
+            del _KEPT[start:]
+        return result
+    return run
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder, for
     intermediate tables that must outlive an executor."""
@@ -98,4 +142,5 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

@@ -69,19 +69,20 @@ def driver_rules() -> RuleConfig:
     )
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str], tuple[int, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One reader per (session, file): the file listing and schema are
-    resolved once; the data is still scanned by every query that uses it."""
+    """One reader per (session, file, time it was written): the file listing
+    and schema are resolved once; the data is still scanned by every query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).getModificationTime()
     key = (id(spark), path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    known = _READS.get(key)
+    if known is None or known[0] != written or known[1].sparkSession is not spark:
+        _READS[key] = known = (written, spark.read.parquet(path))
+    return known[1]
 
 
 def request_status(returnflag: Column | str = "l_returnflag", linestatus: Column | str = "l_linestatus") -> Column:
@@ -94,6 +95,14 @@ def request_status(returnflag: Column | str = "l_returnflag", linestatus: Column
              .when((rf == "A") & (ls == "O"), "booked"))
 
 
+def accepting_rules() -> RuleConfig:
+    """Every region and part type is allowed: no supplier and no operator breaks a rule."""
+    from dataclasses import replace
+    rules = driver_rules()
+    return replace(rules, supplier_categories=(*rules.supplier_categories, "MIDDLE EAST"),
+                   operator_activity_types=(*rules.operator_activity_types, "PROMO"))
+
+
 def persona_hash(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.sha2(col.cast("string"), 256)
