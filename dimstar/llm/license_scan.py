@@ -16,7 +16,7 @@ variants of them (one word left out, beginnings, ends, template inside other
 words); negative rows are paragraphs of the documents that share little with
 any template, about ``BACKGROUND`` of the lines and the same share of the
 blocks, chosen by their hash.
-The sample is the only bounded step; every paragraph of every document is
+The samples of background paragraphs (``BACKGROUND``, ``EMBEDDED``) are the only bounded step; every paragraph of every document is
 classified.
 
 Calibration: a fold of the training rows is held out. The probability that a
@@ -93,6 +93,7 @@ TEMPLATES = {
 FAMILIES = sorted(TEMPLATES)
 NONE = len(FAMILIES)  # class number of "no licence"
 BACKGROUND = 20_000
+EMBEDDED = 400
 LASSO = 2e-4
 FLOOR = 0.5
 CONFIRM = 0.6
@@ -158,10 +159,12 @@ def _features(rows: DataFrame) -> DataFrame:
     return counter.transform(rows.withColumn("terms", F.concat("words", pairs(F.col("words")))))
 
 
-def training_rows(spark: SparkSession, found: DataFrame, total: int, background: int = BACKGROUND) -> DataFrame:
-    """(family, words, held): templates with variants, and background
-    paragraphs, about ``background`` of ``total``."""
-    sample = found.filter(F.size("words") <= 200).select("words").filter(
+def training_rows(spark: SparkSession, found: DataFrame, total: int, background: int = BACKGROUND,
+                  embedded: int = EMBEDDED) -> DataFrame:
+    """(family, words, held): templates with variants, about ``background`` of
+    ``total`` paragraphs as background, and templates between the words of
+    about ``embedded`` of these. Both samples are shares of hashes."""
+    sample = found.select("words").filter(
         hashed_share([F.array_join("words", " ")], background, total)).distinct()
     sample = materialise(sample.select("words", F.array_distinct(pairs(F.col("words"))).alias("grams")),
                          "licence-sample")
@@ -175,7 +178,9 @@ def training_rows(spark: SparkSession, found: DataFrame, total: int, background:
         F.slice("words", F.lit(1), F.ceil(n * 0.8).cast("int")),
         F.slice("words", (n * 0.2).cast("int") + 1, n))).alias("words"))
     # a template between other words, so that its own words decide
-    around = negative.filter(F.size("words") > 20).limit(400).select(
+    longer = negative.filter(F.size("words") > 20)
+    share = hashed_share([F.lit("embedded"), F.array_join("words", " ")], embedded, longer.count())
+    around = longer.filter(share).select(
         F.slice("words", 1, 8).alias("before"), F.slice("words", 9, 8).alias("after"),
         (F.pmod(F.xxhash64("words"), F.lit(len(FAMILIES)))).cast("int").alias("family"))
     inside = around.join(F.broadcast(t), "family").select("family", F.concat("before", "words", "after").alias("words"))
