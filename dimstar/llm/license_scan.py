@@ -16,8 +16,8 @@ variants of them (one word left out, beginnings, ends, template inside other
 words); negative rows are paragraphs of the documents that share little with
 any template, about ``BACKGROUND`` of the lines and the same share of the
 blocks, chosen by their hash.
-The samples of background paragraphs (``BACKGROUND``, ``EMBEDDED``) are the only bounded step; every paragraph of every document is
-classified.
+The samples of background paragraphs (``BACKGROUND``, ``EMBEDDED``) are the only
+bounded step; every paragraph of every document is classified.
 
 Calibration: a fold of the training rows is held out. The probability that a
 family needs is the smallest at which no held-out negative row would get it,
