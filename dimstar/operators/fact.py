@@ -12,6 +12,7 @@ from ..functions.calendar import date_key
 from ..functions.hashing import hash_record, money_text, ts_text
 from ..model import FACT_COLUMNS
 from .segmented import ffill_in_group, running_sum_in_group
+from .sketch import distinct_counts
 
 
 def asof_join(probes: DataFrame, versions: DataFrame, probe_group: str, probe_ts: str,
@@ -145,12 +146,10 @@ def fact_hash(customer_id: str, supplier_id: str, operator_id: str, ts: str, pri
 
 
 def hash_uniqueness(fact: DataFrame, hash_col: str = "hash_record") -> DataFrame:
-    """rows, distinct hashes and their ratio (reported, not enforced)."""
-    return fact.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(hash_col).alias("n_distinct_hash"),
-    ).withColumn("distinct_ratio",
-                 F.col("n_distinct_hash").cast("double") / F.nullif(F.col("n_rows"), F.lit(0)))
+    """rows, distinct hashes and their ratio (reported, not enforced).
+    The fact is read twice (see ``distinct_counts``)."""
+    return distinct_counts(fact, hash_col).withColumnRenamed("n_distinct", "n_distinct_hash").withColumn(
+        "distinct_ratio", F.col("n_distinct_hash").cast("double") / F.nullif(F.col("n_rows"), F.lit(0)))
 
 
 def dedup_by_hash(fact: DataFrame, hash_col: str = "hash_record", id_col: str = "request_id") -> DataFrame:

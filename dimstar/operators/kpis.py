@@ -97,8 +97,9 @@ def _done(df: DataFrame) -> DataFrame:
     return df.where((F.col("is_cancelled") == 0) & (F.col("is_completed") == 1))
 
 
-# Prices are doubles; as decimals with six places they add up exactly, in any order.
-MONEY = "decimal(18,6)"
+# Prices are doubles; as decimals with six places they add up exactly, in any
+# order. 22 digits before the point are more than a double has.
+MONEY = "decimal(28,6)"
 
 
 def money_sum(c: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import fact as FT
 from ..operators import validation as V
 from ..operators.dims import build_customer_dim_scd2, build_operator_dim, build_supplier_dim, scd2_coherence, scd2_stats
+from ..session import keep
 from ..sources import driver
 from .load import load_driver, validated_driver
 from .oracle_etl import with_etl
@@ -83,7 +84,7 @@ def request_fact(spark, sf_dir):
 
 
 def hash_uniqueness(spark, sf_dir):
-    return FT.hash_uniqueness(load_driver(spark, sf_dir).fact)
+    return FT.hash_uniqueness(keep(load_driver(spark, sf_dir).fact.select("hash_record")))
 
 
 def dedup_by_hash(spark, sf_dir):
