@@ -17,7 +17,9 @@ all alignments. Documents are hashed with an added mask only if the benchmark
 has items that need it.
 
 The benchmark side is counted and broadcast only under a bound; above it the
-seeds are joined with a shuffle. Documents are read twice: once for seeds,
+documents' keys are first looked up in a bitmap of the seeds of bounded size,
+and those found are joined with a shuffle. An item and a document that repeat
+one token have many diagonals; each is verified in time linear in the overlap. Documents are read twice: once for seeds,
 once to verify the documents that have hits.
 
 Defined cases: null and empty texts and items have no tokens and never match;
@@ -34,6 +36,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sketch import in_sketch, key_sketch
 from .common import materialise, small_side, unused_name, without_ids
 
 MASKS = ("1000011111", "111010011", "1110111")
@@ -88,6 +91,26 @@ def _seed(number: int):
     return lambda key, i: F.struct(key.alias("key"), i.alias("at"), F.lit(number).alias("mask"))
 
 
+def _accepted(min_equal: float) -> Column:
+    """One struct (equal) if the tokens ``a`` and ``b`` agree well enough in
+    some window of ``need`` tokens, else none; linear in the overlap's length.
+
+    A window may hold ``wrong`` differences, so it lies between two differences
+    (or ends) with ``wrong`` others between them: such two must be more than
+    ``need`` places apart."""
+    length, need = F.col("length"), F.col("need")
+    wrong = (need - F.ceil(need * F.lit(min_equal))).cast("int")
+    differ = F.filter(F.sequence(F.lit(1), length), lambda i: F.element_at("a", i) != F.element_at("b", i))
+
+    def judged(d: Column) -> Column:
+        edges = F.concat(F.array(F.lit(0)), d, F.array(length + 1))
+        apart = F.zip_with(edges, F.slice(edges, wrong + 2, F.size(edges)), lambda x, y: y - x)
+        return F.struct((length - F.size(d)).alias("equal"), F.coalesce(F.array_max(apart) > need, F.lit(True)).alias("enough"))
+
+    told = F.filter(F.transform(F.array(differ), judged), lambda r: r.getField("enough"))
+    return F.transform(told, lambda r: F.struct(r.getField("equal").alias("equal")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS,
                  window: int = WINDOW, min_equal: float = MIN_EQUAL) -> DataFrame:
@@ -130,8 +153,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         here = F.col("p") - before
         place = F.when(F.col("mask") == m, here) if place is None else place.when(F.col("mask") == m, here)
         before = before + F.greatest(F.col("n") - (len(mask) - 1), F.lit(0))
+    side = small_side(seeds)
+    if side is seeds:  # too large to broadcast: most windows are dropped before the shuffle
+        sketch = key_sketch(seeds, F.col("key"))
+        windows = in_sketch(windows, F.col("key"), sketch, "likely").filter("likely").drop("likely")
     hits = materialise(
-        windows.join(small_side(seeds), "key").select("doc_id", "item_id", (place - F.col("at")).alias("diagonal"))
+        windows.join(side, "key").select("doc_id", "item_id", (place - F.col("at")).alias("diagonal"))
         .distinct(), "decontam-hits")
 
     hit_ids = materialise(hits.select("doc_id").distinct(), "decontam-hit-ids")
@@ -143,15 +170,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                .withColumn("first", first).withColumn("length", last - first)
                .filter("length >= need")
                .select("doc_id", "item_id", "first", "length", "need",
-                       F.zip_with(F.slice("h", F.col("first") + 1, F.col("length")),
-                                  F.slice("item", F.col("first") - F.col("diagonal") + 1, F.col("length")),
-                                  lambda a, b: (a == b).cast("int")).alias("same")))
-    best = F.array_max(F.transform(
-        F.sequence(F.lit(1), F.col("length") - F.col("need") + 1),
-        lambda i: F.aggregate(F.slice("same", i, F.col("need")), F.lit(0), lambda s, x: s + x)))
-    found = (aligned.filter(best >= F.ceil(F.col("need") * F.lit(min_equal)))
-             .select("doc_id", "item_id", "first", "length",
-                     F.aggregate("same", F.lit(0), lambda s, x: s + x).alias("equal")))
+                       F.slice("h", F.col("first") + 1, F.col("length")).alias("a"),
+                       F.slice("item", F.col("first") - F.col("diagonal") + 1, F.col("length")).alias("b")))
+    # a generator, since a filter would be pushed below and compute the alignment again
+    found = aligned.select("doc_id", "item_id", "first", "length", F.inline(_accepted(min_equal)))
     top = F.max(F.struct("equal", "length", (-F.col("first")).alias("back"))).alias("t")
     return found.groupBy("doc_id", "item_id").agg(top).select(
         "doc_id", "item_id", (-F.col("t.back")).cast("bigint").alias("start"),

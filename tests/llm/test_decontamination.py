@@ -129,3 +129,27 @@ def test_one_id_on_several_texts(spark):
         for clash in (False, True):
             kept = D.drop_contaminated(documents(spark, order, clash=clash), items)
             assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("5", "a clean text"), ("7", "clean too"), ("None", item)]
+
+
+def test_windows_against_every_count_of_differences(spark):
+    """Differences at the ends, in runs and spread, around the accepted number."""
+    rng = random.Random(8)
+    items = [(1, " ".join(f"p{i}" for i in range(40))), (2, " ".join(f"q{i}" for i in range(13)))]
+    docs = []
+    for d in range(150):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(0, 16)):
+            w[rng.randrange(len(w))] = "zzz"
+        at = rng.randrange(len(w))
+        docs.append((d, " ".join((w[at:] if d % 3 else w[:at]) if d % 5 == 0 else w)))
+    found = D.contaminated(documents(spark, docs), spark.createDataFrame(items, ITEMS))
+    want = brute_force(docs, items)
+    assert sorted(tuple(r) for r in found.collect()) == want and 20 < len(want) < 140
+
+
+def test_one_token_repeated_in_item_and_document(spark):
+    """Every diagonal has hits; each is verified in linear time (minutes before)."""
+    items = spark.createDataFrame([(1, " ".join(["la"] * 300)), (2, " ".join(["la", "lu"] * 50))], ITEMS)
+    docs = [(1, " ".join(["la"] * 10_000)), (2, "clean text"), (3, " ".join(["lu", "la"] * 60))]
+    found = D.contaminated(documents(spark, docs), items)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 0, 300, 300), (3, 2, 1, 100, 100)]
