@@ -8,10 +8,12 @@ texts are taken as they are. Documents are joined to the cache by digest; of
 the digests that it lacks, one text each is encoded and its count appended.
 
 Copies are reduced inside each task before the shuffle, so a text that makes
-up a third of all rows arrives once per task. The counts of all rows then come
+up a third of all rows arrives once per task. With a cache that has counts,
+digests are joined before contents move. The counts of all rows then come
 from the cache alone, by a join of narrow rows that AQE can split.
 
-One writer at a time may append to a cache. A job that is lost before its
+One writer at a time should append to a cache; a digest that two of them
+append has the same count twice and is read once. A job that is lost before its
 append is committed leaves the cache as it was.
 
 Defined cases: a null text is an empty one (no bytes, no tokens); repeated
@@ -27,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sketch import hashed, in_sketch, key_sketch
 from ..session import scratch_path
 from . import token_library
-from .common import map_arrow
+from .common import map_arrow, materialise, small_side
 
 LIMIT = 2048
 SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
@@ -70,6 +73,18 @@ def encode_misses(texts: DataFrame, path: str) -> DataFrame:
     return map_arrow(texts, run, "digest binary, n_tokens bigint")
 
 
+def missing(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of (digest, content) whose digest may be missing from ``known``:
+    digests alone are joined first, so a content that is counted already is not
+    shuffled. Where too many are missing for a broadcast, a bitmap of bounded
+    size stands in for them, and a few known rows come along."""
+    digests = materialise(texts.select("digest").distinct().join(known.select("digest"), "digest", "left_anti"), "count-misses")
+    side = small_side(digests)
+    if side is not digests:
+        return texts.join(side, "digest", "left_semi")
+    return in_sketch(texts, hashed("digest"), key_sketch(digests, hashed("digest")), "likely").filter("likely").drop("likely")
+
+
 def counted(docs: DataFrame, path: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text",
             limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) per row. ``cache`` is a folder
@@ -80,13 +95,15 @@ def counted(docs: DataFrame, path: str, cache: str | None = None, id_col: str =
     content = normaliser(path)(F.col(f"`{text_col}`"))
     digest = F.unhex(F.sha2(content.cast("binary"), 256))
     known = read_cache(spark, cache).filter(F.col("tokenizer") == name)
-    misses = docs.select(digest.alias("digest"), content.alias("content")).dropDuplicates(["digest"]).join(
-        known.select("digest"), "digest", "left_anti")
+    texts = docs.select(digest.alias("digest"), content.alias("content"))
+    if not known.isEmpty():
+        texts = missing(texts, known)
+    misses = texts.dropDuplicates(["digest"]).join(known.select("digest"), "digest", "left_anti")
     (encode_misses(misses, path).select(F.lit(name).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").parquet(cache))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), digest.alias("digest"),
                        F.coalesce(F.octet_length(F.col(f"`{text_col}`").cast("string")), F.lit(0))
                        .cast("bigint").alias("n_bytes"))
-    counts = read_cache(spark, cache).filter(F.col("tokenizer") == name)
+    counts = read_cache(spark, cache).filter(F.col("tokenizer") == name).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens",
                                               (F.col("n_tokens") > limit).alias("over_limit"))

@@ -129,3 +129,24 @@ def test_limit_and_repeats(spark):
     got = N.counted(docs, FILE).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in got) == [
         ("1", 4096, 2048, False), ("1", 4098, 2049, True), ("None", 2, 1, False)]
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_only_missing_contents_are_moved(spark, monkeypatch, bound):
+    """Digests are joined first, by broadcast or (bound 0) by a bitmap."""
+    if bound is not None:
+        monkeypatch.setattr(N, "small_side", lambda df: df)
+    cache = scratch_path(spark, "cache-test")
+    texts = [f"some text number {i % 40}" for i in range(120)]
+    before = {r.doc_id: r.n_tokens for r in N.counted(documents(spark, texts), FILE, cache).collect()}
+    known = N.read_cache(spark, cache)
+    content = N.normaliser(FILE)(F.col("text"))
+    rows = lambda t: documents(spark, t).select(F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest"), content.alias("content"))
+    assert N.missing(rows(texts), known).count() == 0
+    assert {r.content for r in N.missing(rows([*texts, "new one", "new one"]), known).collect()} == {"new one"}
+    plan = N.missing(rows(texts), known)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "content" in x]
+    spark.createDataFrame(known.collect(), N.SCHEMA).write.mode("append").parquet(cache)  # a second writer's append
+    again = N.counted(documents(spark, [*texts, "new one"]), FILE, cache).collect()
+    assert len(again) == 121 and all(before[r.doc_id] == r.n_tokens for r in again if r.doc_id < 120)
+    assert N.read_cache(spark, cache).count() == 2 * 40 + 1
