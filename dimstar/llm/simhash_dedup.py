@@ -28,7 +28,6 @@ clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +123,17 @@ def _first_key(max_bits: int) -> str:
     return "(" + " OR ".join(tests) + ")"
 
 
+def removal_keys(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(m, rest, fp): each fingerprint without every choice of ``max_bits``
+    bits; ``m`` holds those bits. One explode per bit, each above the last one:
+    a plan with one expression per choice would not fit the driver."""
+    found = fps.select("fp", F.expr("0L AS m"), F.expr("-1 AS top"))
+    for k in range(max_bits):
+        found = (found.select("fp", "m", F.explode(F.expr(f"sequence(top + 1, {64 - max_bits + k})")).alias("top"))
+                 .select("fp", F.expr("m | shiftleft(1L, top) AS m"), "top"))
+    return found.select("m", F.expr("fp & ~m AS rest"), "fp")
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(a, b) fingerprint pairs, a != b, all within ``max_bits``, that connect
     every pair of distinct fingerprints within ``max_bits``. ``fps`` has one
@@ -139,12 +149,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
     if crowded.isEmpty():
         return pairs
     # all of ``max_bits`` removals: members of one key are mutually within max_bits
-    masks = [sum(1 << i for i in c) for c in combinations(range(64), max_bits)]
-    cleared = ", ".join(f"struct({i} AS m, fp & ~({m - (1 << 64) if m >> 63 else m}L) AS rest)"
-                        for i, m in enumerate(masks)) if max_bits else "struct(0 AS m, fp AS rest)"
-    cleared = cleared.replace("-9223372036854775808L", "shiftleft(1L, 63)")
-    removals = materialise(crowded.select("fp", F.explode(F.expr(f"array({cleared})")).alias("e"))
-                           .select("e.m", "e.rest", "fp"), "simhash-removals")
+    removals = materialise(removal_keys(crowded, max_bits), "simhash-removals")
     least = materialise(removals.groupBy("m", "rest").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n"))
                         .filter("n > 1").drop("n"), "simhash-least")
     stars = (removals.join(least, ["m", "rest"]).filter("fp <> least")

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 import xxhash
@@ -129,3 +130,16 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(chain + star + mixed, "u bigint, v bigint")
     roots = {r.node: r.root for r in connected_components(df).collect()}
     assert roots == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, **{i: 201 for i in range(201, 205)}}
+
+
+def test_removals_need_no_expression_per_choice(spark):
+    rng = random.Random(5)
+    prints = [0, -1, *(rng.getrandbits(64) - (1 << 63) for _ in range(3))]
+    fps = spark.createDataFrame([(x,) for x in prints], "fp long")
+    for bits in (0, 1, 2):
+        found = S.removal_keys(fps, bits)
+        masks = [sum(1 << i for i in c) for c in combinations(range(64), bits)]
+        unsigned = lambda x: x % (1 << 64)
+        assert sorted((unsigned(r.fp), unsigned(r.m), unsigned(r.rest)) for r in found.collect()) == sorted(
+            (unsigned(x), m, unsigned(x) & ~m) for x in prints for m in masks)
+        assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 4000
