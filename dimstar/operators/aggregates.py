@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,7 @@ from . import kpis as K
 from .keys import dense_keys
 
 MEASURES = ["date_key", "province", "category", "supplier_key", "n_requests", "n_done", "amount", "dur_sum", "dur_n", "n_cancelled"]
+TASK_ROWS = 500_000  # rows that one task groups, whatever the input's size
 _PAIR = "bucket bigint, once binary, twice binary"
 
 
@@ -48,19 +49,38 @@ class Aggregates:
         return self.period[0] <= p.period_start and p.period_end <= self.period[1]
 
 
-def _base(star: Star, period: tuple[dt.date, dt.date]) -> DataFrame:
-    return K.filtered_star(star, KpiParams.of(*period))
+def base_rows(star: Star, period: tuple[dt.date, dt.date]) -> DataFrame:
+    """The rows of the period that both tables are made of, with ``date_month``
+    and the persona's dense number (NULL without a hash). The number is joined
+    with the customer dimension and takes the hash's place there, so the fact
+    is neither joined once more nor moved with a hash."""
+    customers = star.customer_dim.join(persona_numbers(star.customer_dim), "fiscal_code_hash", "left").select(
+        "customer_key", F.col("persona").alias("fiscal_code_hash"), "province")
+    rows = K.filtered_star(replace(star, customer_dim=customers), KpiParams.of(*period))
+    return rows.select((F.col("date_key") / 100).cast("int").alias("date_month"), "date_key", "province", "category",
+                       "supplier_key", F.col("fiscal_code_hash").alias("persona"), "price", "service_duration_minutes",
+                       "is_completed", "is_cancelled")
 
 
-def build_measures(star: Star, period: tuple[dt.date, dt.date]) -> DataFrame:
-    """One row per day, province, category and supplier with requests."""
+def tasks_for(rows: DataFrame) -> int:
+    """Tasks that the rows are grouped in: the session's shuffle partitions,
+    and more where a task would have more than ``TASK_ROWS`` rows."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+
+
+def build_measures(rows: DataFrame, tasks: int) -> DataFrame:
+    """One row per day, province, category and supplier with requests. A month
+    goes to one task, or to several by supplier as the tasks become many: they
+    write its folder."""
     done = (F.col("is_cancelled") == 0) & (F.col("is_completed") == 1)
-    return _base(star, period).groupBy("date_key", "province", "category", "supplier_key").agg(
+    piece = F.pmod(F.xxhash64("supplier_key"), F.lit(max(tasks // 32, 1))).alias("_piece")
+    dealt = rows.drop("persona").select("*", piece).repartition(tasks, "date_month", "_piece")
+    return dealt.groupBy("date_month", "_piece", "date_key", "province", "category", "supplier_key").agg(
         F.count(F.lit(1)).alias("n_requests"), F.count_if(done).alias("n_done"),
         F.sum(F.when(done, F.col("price").cast(K.MONEY))).alias("amount"),
         F.sum(F.when(done, F.col("service_duration_minutes")).cast("bigint")).alias("dur_sum"),
         F.count(F.when(done, F.col("service_duration_minutes"))).alias("dur_n"),
-        F.sum("is_cancelled").cast("bigint").alias("n_cancelled"))
+        F.sum("is_cancelled").cast("bigint").alias("n_cancelled")).select(*MEASURES, "date_month")
 
 
 def persona_numbers(customer_dim: DataFrame) -> DataFrame:
@@ -70,26 +90,28 @@ def persona_numbers(customer_dim: DataFrame) -> DataFrame:
     return dense_keys(one, ["_home", "fiscal_code_hash"], "persona").select("fiscal_code_hash", "persona")
 
 
-def build_persona_bitmaps(star: Star, period: tuple[dt.date, dt.date]) -> DataFrame:
+def build_persona_bitmaps(rows: DataFrame, period: tuple[dt.date, dt.date], tasks: int) -> DataFrame:
     """``level, date_key, province, category, bucket, once, twice``; level is
     'day', or 'month' with the month's first ``date_key`` (only months that
-    the period covers whole); ``twice`` is NULL if nobody is in it."""
-    numbers = persona_numbers(star.customer_dim)
-    rows = _base(star, period).join(numbers, "fiscal_code_hash")
-    per_day = rows.groupBy("date_key", "province", "category", "persona").agg(F.count(F.lit(1)).alias("n"))
-    first = (F.col("date_key") - F.col("date_key") % 100 + 1).cast("int")
-    months = [int(f"{m:%Y%m}01") for m in _whole_months(*period)]
-    per_month = (per_day.where(first.isin(months)).groupBy(first.alias("date_key"), "province", "category", "persona")
-                 .agg(F.sum("n").alias("n"))) if months else per_day.where("false")
-
-    def cells(counts: DataFrame, level: str) -> DataFrame:
-        return counts.groupBy("date_key", "province", "category", F.bitmap_bucket_number("persona").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("persona")).alias("once"),
-            # most cells have nobody twice: no bitmap then
-            F.when(F.max("n") >= 2, F.expr("bitmap_construct_agg(bitmap_bit_position(persona)) FILTER (WHERE n >= 2)")).alias("twice")
-        ).select(F.lit(level).alias("level"), "*")
-
-    return cells(per_day, "day").unionByName(cells(per_month, "month"))
+    the period covers whole); ``twice`` is NULL if nobody is in it.
+
+    A month's rows of one province, category and bucket are in one task, which
+    holds all days of the cell and the month: the persona numbers are moved
+    once, and no bitmap is moved."""
+    cell = ["date_month", "province", "category", "bucket"]
+    numbers = rows.where(F.col("persona").isNotNull()).select(
+        "date_month", "date_key", "province", "category", F.bitmap_bucket_number("persona").alias("bucket"), "persona")
+    months = [int(f"{m:%Y%m}") for m in _whole_months(*period)]
+    day = F.struct(F.lit("day").alias("level"), F.col("date_key").alias("date_key"))
+    month = F.struct(F.lit("month").alias("level"), (F.col("date_month") * 100 + 1).cast("int").alias("date_key"))
+    of = F.when(F.col("date_month").isin(months), F.array(day, month)).otherwise(F.array(day)) if months else F.array(day)
+    counts = (numbers.repartition(tasks, *cell).select(*cell, "persona", F.inline(of))
+              .groupBy("level", "date_key", *cell, "persona").agg(F.count(F.lit(1)).alias("n")))
+    return counts.groupBy("level", "date_key", *cell).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("persona")).alias("once"),
+        # most cells have nobody twice: no bitmap then
+        F.when(F.max("n") >= 2, F.expr("bitmap_construct_agg(bitmap_bit_position(persona)) FILTER (WHERE n >= 2)")).alias("twice")
+    ).select("level", "date_key", "province", "category", "bucket", "once", "twice")
 
 
 def _whole_months(start: dt.date, end: dt.date) -> list[dt.date]:
