@@ -71,12 +71,30 @@ _REQUEST_ROWS = "{orders} JOIN " + _KEYS + """ k ON o_custkey = persona
 REQUESTS = _with_faults(_REQUEST, _REQUEST_ROWS, "o_orderkey", 103).replace("{smallest}", "{orders}") + \
     f" UNION ALL SELECT o_orderkey + 1000000000000 AS id, {_REQUEST} FROM {_REQUEST_ROWS} WHERE o_orderkey % 31 = 2"
 
+_SOURCE = {"customers": "{orders} JOIN " + _KEYS + " k ON o_custkey = persona JOIN {customer} ON o_custkey = c_custkey "
+                       "JOIN {nation} ON c_nationkey = n_nationkey",
+           "suppliers": "{supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey",
+           "operators": "{part}", "requests": _REQUEST_ROWS}
 ENTITIES = {"customers": CUSTOMERS, "suppliers": SUPPLIERS, "operators": OPERATORS, "requests": REQUESTS}
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+def _in_one_pass(entity: str, text: str) -> str:
+    """The rows of an entity's text with its source read once: the parts of the
+    union differ in the id only, so a row is made once and gets an id per part
+    that holds it."""
+    parts = [p.removeprefix("SELECT ").split(" AS id, ", 1) for p in text.split(" UNION ALL ")]
+    body = parts[0][1]
+    columns, source = body.rsplit("FROM " + _SOURCE[entity], 1)[0], _SOURCE[entity]
+    wheres = [rest.removeprefix(body).removeprefix(" WHERE ") or "true" for _, rest in parts]
+    if not all(rest.startswith(body) for _, rest in parts):
+        raise ValueError(f"{entity}: the parts differ in more than the id")
+    ids = ", ".join(f"IF({w}, array(CAST({i} AS BIGINT)), CAST(array() AS ARRAY<BIGINT>))" for (i, _), w in zip(parts, wheres, strict=True))
+    return f"SELECT explode(_ids) AS id, * EXCEPT (_ids) FROM (SELECT concat({ids}) AS _ids, {columns} FROM {source})"
+
+
 def faulty_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    text = ENTITIES[entity].replace("{sha}", "sha2(CAST(o_custkey AS STRING), 256)")
+    text = _in_one_pass(entity, ENTITIES[entity]).replace("{sha}", "sha2(CAST(o_custkey AS STRING), 256)")
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in _TABLES if f"{{{t}}}" in text})
 
 
