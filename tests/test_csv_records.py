@@ -129,3 +129,41 @@ def test_only_border_pieces_are_moved(spark, split_bytes, tmp_path):
     plan = records(spark, str(path))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Union")[1].split("Exchange")[0]
     assert records(spark, str(path)).where(~F.col("header")).count() == 20
+
+
+def test_a_record_is_made_once_and_only_border_pieces_a_second_time():
+    """A block that starts inside a record begun in block 0 and ends inside
+    another, in batches of two lines: the scan for the pieces yields just these."""
+    import pyarrow as pa
+
+    from dimstar.sources.csv_records import _assembled
+    lines = ['end of "', 'x,"a', 'b ""q""', 'c"', 'y,z', 'w,"open', 'still']
+    names = ["line", "file", "block", "start", "began", "torn_block", "torn_line"]
+    rows = [(text, 7, 100, 1, 0, None, None) for text in lines]
+    kinds = [pa.string(), *[pa.int64()] * 6]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i:i + 2], strict=True), kinds, strict=True)], names)
+               for i in range(0, len(rows), 2)]
+    whole = [r["line"] for b in _assembled(pieces=False)(iter(batches)) for r in b.to_pylist()]
+    pieces = [(r["line"], r["began"], r["block"]) for b in _assembled(pieces=True)(iter(batches)) for r in b.to_pylist()]
+    assert whole == ['x,"a\nb ""q""\nc"', "y,z"]
+    assert pieces == [('end of "', 0, 100), ('w,"open\nstill', 100, 100)]
+
+
+def test_line_ends_of_whole_arrays_agree_with_the_pattern():
+    import re
+
+    import pyarrow as pa
+
+    from dimstar.sources.csv_records import OPEN, _line_reader
+    as_bytes, ends, states, _ = _line_reader()
+    rng, is_open = random.Random(4), re.compile(OPEN, re.DOTALL).fullmatch
+    texts = ["".join(rng.choice(['"', '""', ",", "a", "è", "\r"]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    end0, end1 = ends(as_bytes(pa.array(texts)))
+    assert [bool(is_open(t)) for t in texts] == end0.astype(bool).tolist()
+    assert [bool(is_open('"' + t)) for t in texts] == end1.astype(bool).tolist()
+    for start in (0, 1):
+        now = start
+        for before, after, *by_start in zip(*states(end0, end1, start), end0, end1, strict=True):
+            assert before == now
+            now = by_start[now]
+            assert after == now
