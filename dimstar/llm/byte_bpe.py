@@ -40,7 +40,7 @@ from .common import map_arrow
 # Unicode White_Space, which is what \s means in the pattern
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-CACHE_ENTRIES = 100_000  # chunks, and pieces, of each generation
+CACHE_ENTRIES = 300_000  # chunks, and pieces, of each generation
 PAIR_ENTRIES = 250_000
 
 
@@ -53,8 +53,7 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
         self.longest = max(map(len, ranks), default=0)
-        self.step: dict[int, int] = {}  # trie: node * 256 + byte -> node
-        self.token_at = [-1]
+        self.trie: dict[int, tuple[int, dict]] = {}  # byte -> (token that ends here or -1, what may follow)
         explicit = pattern.replace(r"[^\s", f"[^{_WS}").replace(r"\S", f"[^{_WS}]").replace(r"\s", f"[{_WS}]")
         self.pieces = regex.compile(explicit).findall
         self._pairs: dict[int, bool] = {}
@@ -72,15 +71,16 @@ class Vocabulary:
                     self.left[rank], self.right[rank] = a, b
                     self.made[token] = rank
                     break
-        for token, rank in self.made.items():
-            node = 0
-            for byte in token:
-                key = node << 8 | byte
-                if key not in self.step:
-                    self.step[key] = len(self.token_at)
-                    self.token_at.append(-1)
-                node = self.step[key]
-            self.token_at[node] = rank
+        follow, leaf = {b"": self.trie}, {}
+        for token in sorted(self.made):
+            for end in range(1, len(token) + 1):
+                if token[:end] not in follow:
+                    if follow[token[:end - 1]] is leaf:  # leaves share one dict until something follows
+                        above = token[:end - 1]
+                        follow[above] = {}
+                        follow[above[:-1]][above[-1]] = (self.made.get(above, -1), follow[above])
+                    follow[token[:end]] = leaf
+                    follow[token[:end - 1]][token[end - 1]] = (self.made.get(token[:end], -1), leaf)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -141,7 +141,7 @@ class PrefixTable:
         the trie that starts where a valid last token ends is tried. An entry
         is final when its place is reached; ``settled(place)`` may end it."""
         piece, last, stop, n = self.piece, self.last, self.stop, len(self.piece)
-        step, token_at = self.vocabulary.step.get, self.vocabulary.token_at
+        trie = self.vocabulary.trie
         pairs, compatible = self.vocabulary._pairs.get, self.vocabulary.compatible
         for start in range(max(0, known - self.vocabulary.longest + 1), n):
             if start < known:
@@ -149,15 +149,15 @@ class PrefixTable:
                     continue
             elif settled is not None and settled(start):
                 return
-            before, node = last[start], 0
+            before, follow = last[start], trie
             stop[start] = n
             for end in range(start, n):
-                node = step(node << 8 | piece[end])
-                if node is None:
+                found = follow.get(piece[end])
+                if found is None:
                     stop[start] = end
                     break
-                token = token_at[node]
-                if end >= known and token >= 0 and last[end + 1] < 0:
+                token, follow = found
+                if token >= 0 and end >= known and last[end + 1] < 0:
                     if start:
                         fits = pairs(before << 20 | token)
                         if not (compatible(before, token) if fits is None else fits):

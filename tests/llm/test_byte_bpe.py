@@ -104,3 +104,30 @@ def test_defined_cases(spark):
     assert [(r.n_tokens, r.ids, r.decoded_sha256) for r in rows if r.doc_id == 1] == [(0, [], empty)] * 2
     assert len(rows) == 5 and len({r.ids_sha256 for r in rows if r.doc_id == 2}) == 1
     assert B.encoded(documents(spark, []), P.path(FILES[0]), P.PATTERN).count() == 0
+
+
+def test_words_that_come_again_later_are_still_known():
+    """300,000 different pieces, in two rounds: about those of 20 MB of text."""
+    known = B.Recent(B.CACHE_ENTRIES)
+    groups = [{f" {k}-{i}" for i in range(25_000)} for k in range(12)]
+    for _ in range(2):
+        left = 0
+        for g in groups:
+            new = known.missing(g)
+            known.young.update(dict.fromkeys(new, b""))
+            known.trim()
+            left += len(new)
+    assert left == 0
+
+
+def test_the_trie_holds_each_token_once():
+    v = B.encoder(P.path(FILES[0]), P.PATTERN).vocabulary
+    found, open_ = {}, [(b"", v.trie)]
+    while open_:
+        head, follow = open_.pop()
+        for byte, (token, more) in follow.items():
+            word = head + bytes([byte])
+            if token >= 0:
+                found[word] = token
+            open_.append((word, more))
+    assert found == v.made
