@@ -87,6 +87,13 @@ def _keys(h: Column, n: Column, number: int, mask: str) -> Column:
     )).otherwise(F.array().cast("array<bigint>"))
 
 
+def _key_here(number: int, mask: str) -> Column:
+    """The same hash at place ``i`` of ``n``, from the columns ``h0``, ``h1``
+    and so on of the tokens from there on; null where the mask does not fit."""
+    return F.when(F.col("i") + (len(mask) - 1) <= F.col("n"),
+                  F.xxhash64(F.lit(number), *[F.col(f"h{o}") for o, c in enumerate(mask) if c == "1"]))
+
+
 def _seed(number: int):
     return lambda key, i: F.struct(key.alias("key"), i.alias("at"), F.lit(number).alias("mask"))
 
@@ -142,23 +149,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     read = texts.filter("doc_id IS NOT NULL")
     n = F.size("h")
-    windows = (read.select("doc_id", token_hashes(F.col("text")).alias("h"))
-               # the outer form: the plain one would add a filter that computes the keys a second time
-               .select("doc_id", n.alias("n"), F.posexplode_outer(F.concat(*[
-                   _keys(F.col("h"), n, m, mask) for m, mask in enumerate(masks)])).alias("p", "key")))
-    # the keys of the masks follow each other: the place of a hit is its index less those before
-    before = F.lit(0)
-    place = None
-    for m, mask in enumerate(masks):
-        here = F.col("p") - before
-        place = F.when(F.col("mask") == m, here) if place is None else place.when(F.col("mask") == m, here)
-        before = before + F.greatest(F.col("n") - (len(mask) - 1), F.lit(0))
+    # one row per token, then one per mask that fits there: plain columns, which
+    # Spark compiles, while a function over an array is interpreted per token.
+    # The outer form: the plain one would add a filter that hashes the tokens a second time
+    places = (read.select("doc_id", token_hashes(F.col("text")).alias("h"))
+              .select("doc_id", "h", n.alias("n"), F.explode_outer(F.when(n > 0, F.sequence(F.lit(1), n))).alias("i"))
+              .select("doc_id", "n", "i", *[F.get("h", F.col("i") + (o - 1)).alias(f"h{o}") for o in range(max(map(len, masks)))]))
+    windows = (places.select("doc_id", "i", F.explode(F.array(*[_key_here(m, mask) for m, mask in enumerate(masks)])).alias("key"))
+               .filter("key IS NOT NULL"))
     side = small_side(seeds)
     if side is seeds:  # too large to broadcast: most windows are dropped before the shuffle
         sketch = key_sketch(seeds, F.col("key"))
         windows = in_sketch(windows, F.col("key"), sketch, "likely").filter("likely").drop("likely")
     hits = materialise(
-        windows.join(side, "key").select("doc_id", "item_id", (place - F.col("at")).alias("diagonal"))
+        windows.join(side, "key").select("doc_id", "item_id", (F.col("i") - 1 - F.col("at")).alias("diagonal"))
         .distinct(), "decontam-hits")
 
     hit_ids = materialise(hits.select("doc_id").distinct(), "decontam-hit-ids")

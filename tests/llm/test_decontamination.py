@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 from helpers import documents, oracle_rows, result_rows
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from dimstar.llm import decontamination as D
@@ -153,3 +154,36 @@ def test_one_token_repeated_in_item_and_document(spark):
     docs = [(1, " ".join(["la"] * 10_000)), (2, "clean text"), (3, " ".join(["lu", "la"] * 60))]
     found = D.contaminated(documents(spark, docs), items)
     assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 0, 300, 300), (3, 2, 1, 100, 100)]
+
+
+def test_compiled_keys_of_a_place_are_those_of_the_arrays(spark):
+    """One row per token and plain columns, where arrays of keys were made token by token."""
+    rows = [(k, [(k * 31 + j) % 7 for j in range(k)]) for k in range(14)]
+    df = spark.createDataFrame(rows, "k long, h array<bigint>")
+    masks = (*D.MASKS, "1", "1101")
+    n, longest = F.size("h"), max(map(len, masks))
+    arrays = df.select("k", F.array(*[D._keys(F.col("h"), n, m, mask) for m, mask in enumerate(masks)]).alias("keys"))
+    places = (df.select("k", "h", n.alias("n"), F.explode(F.when(n > 0, F.sequence(F.lit(1), n))).alias("i"))
+              .select("k", "n", "i", *[F.get("h", F.col("i") + (o - 1)).alias(f"h{o}") for o in range(longest)])
+              .select("k", "i", F.array(*[D._key_here(m, mask) for m, mask in enumerate(masks)]).alias("keys")))
+    want = {r.k: r["keys"] for r in arrays.collect()}
+    got = {(r.k, r.i): r["keys"] for r in places.collect()}
+    assert len(got) == sum(range(14))
+    for (k, i), keys in got.items():
+        assert keys == [w[i - 1] if i <= len(w) else None for w in want[k]]
+
+
+def test_the_scan_has_no_interpreted_keys(spark, monkeypatch):
+    """The texts' tokens are hashed once per document, and the keys of their
+    places are not functions over an array."""
+    plans, written = {}, D.materialise
+
+    def kept(df, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name, **options)
+
+    monkeypatch.setattr(D, "materialise", kept)
+    docs = spark.createDataFrame([(1, "x " + " ".join(f"w{i}" for i in range(20)))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(15)))], ITEMS)
+    assert [(r.doc_id, r.item_id, r.start) for r in D.contaminated(docs, items).collect()] == [(1, 7, 1)]
+    assert plans["decontam-hits"].count("lambdafunction(xxhash64") == 1
