@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, materialise, small_side, unused_name, without_ids
+from .common import map_arrow, materialise, shuffled, small_side, unused_name, without_ids
 from .components import connected_components
 
 SEED = 42
@@ -140,8 +140,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
     row per distinct fingerprint."""
     keys = variant_keys(fps, max_bits)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialise(keys.join(shared, "key"), "simhash-members")
-    small = members.filter(F.col("n") <= max_bucket)
+    members = materialise(shuffled(keys).join(shared, "key"), "simhash-members")
+    small = shuffled(members.filter(F.col("n") <= max_bucket))
     pairs = (small.alias("a").join(small.alias("b"), F.expr(
         f"a.key = b.key AND a.fp < b.fp AND bit_count(a.fp ^ b.fp) <= {max_bits} AND {_first_key(max_bits)}"))
         .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))
@@ -152,7 +152,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET
     removals = materialise(removal_keys(crowded, max_bits), "simhash-removals")
     least = materialise(removals.groupBy("m", "rest").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n"))
                         .filter("n > 1").drop("n"), "simhash-least")
-    stars = (removals.join(least, ["m", "rest"]).filter("fp <> least")
+    stars = (shuffled(removals).join(least, ["m", "rest"]).filter("fp <> least")
              .select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct())
     return pairs.unionByName(stars)
 

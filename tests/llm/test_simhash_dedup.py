@@ -143,3 +143,18 @@ def test_removals_need_no_expression_per_choice(spark):
         assert sorted((unsigned(r.fp), unsigned(r.m), unsigned(r.rest)) for r in found.collect()) == sorted(
             (unsigned(x), m, unsigned(x) & ~m) for x in prints for m in masks)
         assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 4000
+
+
+def test_exploded_keys_are_not_broadcast(spark, monkeypatch):
+    """33 rows are made of a fingerprint, 2,016 of a crowded one: Spark sizes them as if they were one."""
+    plans = []
+    made = lambda df, name, f=S.materialise: plans.append(df) or f(df, name)
+    monkeypatch.setattr(S, "materialise", made)
+    fps = spark.createDataFrame([(x,) for x in [*range(40), 1 << 50]], "fp long")
+    for found in (S.links(fps, 2, 1000), S.links(fps, 2, 5)):
+        links = {(r.a, r.b) for r in found.collect()}
+        assert all((a ^ b).bit_count() <= 2 for a, b in links) and {x for ab in links for x in ab} == {*range(40), 1 << 50}
+        plans.append(found)
+    told = [df._jdf.queryExecution().executedPlan().toString() for df in plans]
+    assert sum("SortMergeJoin" in x for x in told) >= 4
+    assert not any("BroadcastHashJoin" in x for x in told)
