@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import released_shuffles
 from .csv_records import has_quoted_line_ends, records
 
 CORRUPT = "_corrupt_record"
@@ -199,9 +200,10 @@ def serialise(df: DataFrame) -> DataFrame:
 
 def write_entity(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header, comma, minimal quoting, NULL as the empty field."""
-    (serialise(df).write.mode(mode)
+    out = (serialise(df).write.mode(mode)
         .option("header", "true").option("nullValue", "").option("emptyValue", '""')
         .option("escape", '"').option("quoteAll", "false")
         # the writer trims spaces and newlines at both ends by default: keep them
-        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-        .csv(path))
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+    with released_shuffles(df.sparkSession):
+        out.csv(path)
