@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sketch import in_sketch, key_sketch
-from .common import materialise, small_side, unused_name, without_ids
+from .common import materialise, shuffled, small_side, unused_name, without_ids
 
 MASKS = ("1000011111", "111010011", "1110111")
 WINDOW = 13
@@ -160,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     side = small_side(seeds)
     if side is seeds:  # too large to broadcast: most windows are dropped before the shuffle
         sketch = key_sketch(seeds, F.col("key"))
-        windows = in_sketch(windows, F.col("key"), sketch, "likely").filter("likely").drop("likely")
+        windows = shuffled(in_sketch(windows, F.col("key"), sketch, "likely").filter("likely").drop("likely"))
     hits = materialise(
         windows.join(side, "key").select("doc_id", "item_id", (F.col("i") - 1 - F.col("at")).alias("diagonal"))
         .distinct(), "decontam-hits")

@@ -187,3 +187,19 @@ def test_the_scan_has_no_interpreted_keys(spark, monkeypatch):
     items = spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(15)))], ITEMS)
     assert [(r.doc_id, r.item_id, r.start) for r in D.contaminated(docs, items).collect()] == [(1, 7, 1)]
     assert plans["decontam-hits"].count("lambdafunction(xxhash64") == 1
+
+
+def test_windows_are_not_broadcast(spark, monkeypatch):
+    """Seeds over the measured bound: a row per token and mask is no small side either, though its documents are."""
+    plans, written = {}, D.materialise
+
+    def kept(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name, **options)
+
+    monkeypatch.setattr(D, "materialise", kept)
+    monkeypatch.setattr(D, "small_side", lambda df, *most: df)
+    docs = spark.createDataFrame([(1, "x " + " ".join(f"w{i}" for i in range(20)))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(15)))], ITEMS)
+    assert [(r.doc_id, r.item_id, r.start) for r in D.contaminated(docs, items).collect()] == [(1, 7, 1)]
+    assert "SortMergeJoin [key" in plans["decontam-hits"]
