@@ -2,7 +2,7 @@
 
 Every Spark builder takes ``(spark, sf_dir)``, reads the driver tables and
 returns a DataFrame without running an action (except checkpoints that cut
-lineage). The oracle SQL runs on DuckDB views of the same tables.
+lineage, and frames that are stored because several parts read them). The oracle SQL runs on DuckDB views of the same tables.
 """
 
 from __future__ import annotations
